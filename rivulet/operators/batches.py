@@ -25,15 +25,19 @@ def only_latest(df: DataFrame, landing: DataFrame, column: str = BATCH) -> DataF
     return df.filter(F.col(column) == newest)
 
 
-def without_datasets(landing: DataFrame, pattern: str, names: list[str]) -> DataFrame:
-    """What stays when an overwriting run drops a kind of dataset and some exact names."""
-    dropped = text.in_dataset_kind(F.col("dataset"), pattern) | F.col("dataset").isin(names)
+def without_datasets(
+    landing: DataFrame, names: list[str], pattern: str | None = None
+) -> DataFrame:
+    """What stays when some datasets are dropped, by exact name and by a LIKE pattern."""
+    dropped = F.col("dataset").isin(names)
+    if pattern is not None:
+        dropped = dropped | text.in_dataset_kind(F.col("dataset"), pattern)
     return landing.filter(~F.coalesce(dropped, F.lit(False)))
 
 
 def survivors(landing: DataFrame) -> DataFrame:
     """The landing rows an overwriting run keeps."""
-    return without_datasets(landing, text.READINGS_KIND + "%", [text.STATION_DATASET])
+    return without_datasets(landing, [text.STATION_DATASET], text.READINGS_KIND + "%")
 
 
 def batch_counts(landing: DataFrame) -> DataFrame:

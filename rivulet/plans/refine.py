@@ -1,7 +1,8 @@
 """The layer jobs: landing to bronze, bronze to silver, silver to gold.
 
-Each job takes the newest batch of the landing, writes two tables and returns a
-small summary. All of them may be repeated for the same batch.
+Each job takes the newest batch of the landing (a caller that knows it may pass
+it), writes two tables and returns a small summary. All of them may be repeated
+for the same batch.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from rivulet.operators import batches, conform, flatten, keys
 from rivulet.sources.tables import LANDING, Warehouse
 
 NO_DATA = {"status": "no_raw_data"}
-READING_ORDER = ["station_id", "datetime"]
+# Files are sorted, so that their statistics let a reader skip by station and time.
+READING_ORDER = ["ingested_at", "station_id", "datetime"]
 
 
-def landing_to_bronze(warehouse: Warehouse, replace: bool = True) -> dict[str, object]:
+def landing_to_bronze(
+    warehouse: Warehouse, replace: bool = True, batch: str | None = None
+) -> dict[str, object]:
     """Opens the newest batch into bronze stations (upsert) and bronze readings.
 
     With `replace` a repeated batch takes the place of its earlier readings;
@@ -24,7 +28,7 @@ def landing_to_bronze(warehouse: Warehouse, replace: bool = True) -> dict[str, o
     Defects of the documents are noticed while the tables are written; only if
     there are any, the batch is read again to list them in `quarantine`.
     """
-    batch = batches.latest_batch(warehouse.read(LANDING))
+    batch = batch or batches.latest_batch(warehouse.read(LANDING))
     if batch is None:
         return dict(NO_DATA)
     landed = warehouse.batch(LANDING, batch)
@@ -32,7 +36,7 @@ def landing_to_bronze(warehouse: Warehouse, replace: bool = True) -> dict[str, o
 
     stations = flatten.flatten_stations(landed, station_watch)
     bronze = conform.merge_stations(warehouse.read("bronze_station"), stations)
-    warehouse.write_version("bronze_station", bronze)
+    warehouse.replace("bronze_station", bronze)
 
     before = 0 if replace else warehouse.batch("bronze_measure", batch).count()
     readings = flatten.flatten_readings(landed, reading_watch).sortWithinPartitions(*READING_ORDER)
@@ -60,13 +64,13 @@ def _quarantine(warehouse: Warehouse, landed: DataFrame, batch: str, suspects: b
     warehouse.replace_batch("quarantine", issues)
 
 
-def bronze_to_silver(warehouse: Warehouse) -> dict[str, object]:
+def bronze_to_silver(warehouse: Warehouse, batch: str | None = None) -> dict[str, object]:
     """Stations first: the readings are kept by the stations known afterwards."""
-    batch = batches.latest_batch(warehouse.read(LANDING))
+    batch = batch or batches.latest_batch(warehouse.read(LANDING))
     if batch is None:
         return dict(NO_DATA)
     snapshot = warehouse.batch("bronze_station", batch)
-    warehouse.write_version(
+    warehouse.replace(
         "silver_station", conform.merge_snapshot(warehouse.read("silver_station"), snapshot)
     )
     existing = warehouse.batch("silver_measure", batch)
@@ -83,16 +87,16 @@ def bronze_to_silver(warehouse: Warehouse) -> dict[str, object]:
     }
 
 
-def silver_to_gold(warehouse: Warehouse) -> dict[str, object]:
+def silver_to_gold(warehouse: Warehouse, batch: str | None = None) -> dict[str, object]:
     """Dimension with stable keys, then the facts that are not there yet."""
-    batch = batches.latest_batch(warehouse.read(LANDING))
+    batch = batch or batches.latest_batch(warehouse.read(LANDING))
     if batch is None:
         return dict(NO_DATA)
     snapshot = warehouse.batch("silver_station", batch)
     dimension = warehouse.read("dim_station")
     used = dimension.agg(F.max("station_key")).first()[0] or 0
     merged = conform.merge_dimension(dimension, snapshot)
-    warehouse.write_version(
+    warehouse.replace(
         "dim_station", keys.assign_keys(merged, "station_key", conform.STATION_KEY, used)
     )
 
@@ -104,7 +108,10 @@ def silver_to_gold(warehouse: Warehouse) -> dict[str, object]:
     staged = keys.stage_in_order(facts, conform.READING_KEY, "measurement_key")
     count = staged.count()
     start = warehouse.reserve("fact_measurement", count)
-    warehouse.append("fact_measurement", keys.number_staged(staged, "measurement_key", start))
+    numbered = keys.number_staged(staged, "measurement_key", start)
+    warehouse.append(
+        "fact_measurement", numbered.sortWithinPartitions("ingested_at", "measurement_key")
+    )
     return {
         "status": "ok",
         "ingested_at": batch,

@@ -80,12 +80,12 @@ def refine_newest(
 
     passing(landing_report(warehouse, requested))
     batch = batches.latest_batch(warehouse.read(LANDING))
-    summary = refine.landing_to_bronze(warehouse)
+    summary = refine.landing_to_bronze(warehouse, batch=batch)
     passing(parse_report(warehouse, batch))
     passing(bronze_report(warehouse, batch, sample))
-    summary |= refine.bronze_to_silver(warehouse)
+    summary |= refine.bronze_to_silver(warehouse, batch)
     passing(silver_report(warehouse, batch, sample))
-    summary |= refine.silver_to_gold(warehouse)
+    summary |= refine.silver_to_gold(warehouse, batch)
     passing(gold_report(warehouse, batch))
     return summary
 

@@ -51,7 +51,7 @@ ISSUE = _struct(
     *_text("issue", "detail", "ingested_at"),
 )
 
-KEY_SEQUENCE = _struct(*_text("table_name"), ("last_key", LongType()))
+COUNTER = _struct(("value", LongType()), *_text("name"))
 
 # Documents are read with text leaves and cast afterwards: a typed leaf turns a
 # quoted number, or 437673.0 in an integer field, into NULL without a trace.

@@ -36,7 +36,13 @@ def _write(warehouse: Warehouse, rows: DataFrame, append: bool) -> None:
         warehouse.append(LANDING, rows)
     else:
         kept = batches.survivors(warehouse.read(LANDING))
-        warehouse.replace_landing(kept.unionByName(rows.select(*kept.columns)))
+        warehouse.replace(LANDING, kept.unionByName(rows.select(*kept.columns)))
+
+
+def drop_datasets(warehouse: Warehouse, names: list[str], pattern: str | None = None) -> None:
+    """Removes datasets by exact name, and by a LIKE pattern in any case, from the landing."""
+    kept = batches.without_datasets(warehouse.read(LANDING), names, pattern)
+    warehouse.replace(LANDING, kept)
 
 
 def land_payloads(
@@ -52,7 +58,8 @@ def land_payloads(
     all station and readings payloads landed before.
     """
     stamp = ingested_at or batch_stamp()
-    staged = keys.stage_in_order(payloads.select("dataset", "payload", *order), order, "id")
+    columns = list(dict.fromkeys(["dataset", "payload", *order]))
+    staged = keys.stage_in_order(payloads.select(*columns), order, "id")
     count = staged.count()
     start = warehouse.reserve(LANDING, count)
     rows = keys.number_staged(staged, "id", start).withColumn("ingested_at", F.lit(stamp))
@@ -60,6 +67,16 @@ def land_payloads(
     return {"raw_rows_inserted": count, "ingested_at": stamp}
 
 
+def land_payload(
+    warehouse: Warehouse, dataset: str, payload: str, ingested_at: str | None = None
+) -> dict[str, object]:
+    """Lands a single document, as a batch of its own unless a stamp is given."""
+    row = warehouse.spark.range(1).select(
+        F.lit(dataset).alias("dataset"), F.lit(payload).alias("payload")
+    )
+    return land_payloads(warehouse, row, ["dataset"], ingested_at)
+
+
 def payload_files(spark: SparkSession, path: str) -> DataFrame:
     """JSON files as (dataset, payload, source); the file name is the dataset name."""
     name = F.regexp_replace(F.url_decode(text.last_segment(F.col("source"))), r"[.]json$", "")

@@ -1,10 +1,12 @@
 """The layer tables as Parquet under one root.
 
-- Station tables hold a full snapshot per `version`; readers take the newest. A
-  merge writes version n+1 from version n, so nothing is read and replaced at once.
-- Reading tables are partitioned by batch; the landing by `generation` and batch.
-- Replacing a partition stages its files and renames the folder at commit, so a
-  lost executor or a failed job leaves the old content in place.
+- Station tables hold a full snapshot per state; a merge reads state n and writes
+  state n+1, so nothing is read and replaced at once. The landing starts a new
+  state when a run overwrites it, and is appended to within a state.
+- Which state counts is a row in `counter`, added once the files are complete: a
+  job that fails half-way leaves only files that nobody reads.
+- Reading tables are partitioned by batch. Replacing a batch stages its files and
+  renames the folder at commit.
 - One writer at a time, as in any table without a lock.
 """
 
@@ -13,88 +15,82 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
 
 from rivulet import schemas
 
-VERSIONED = {
+LANDING = "raw_landing"
+COUNTER = "counter"
+BATCH = "ingested_at"
+
+# Tables with states, and the partition column within a state.
+STATEFUL = {
+    LANDING: [BATCH],
+    "bronze_station": [],
+    "silver_station": [],
+    "dim_station": [],
+}
+PARTITIONS = {
+    "bronze_measure": [BATCH],
+    "silver_measure": [BATCH],
+    "fact_measurement": [BATCH],
+    "quarantine": [BATCH],
+    COUNTER: ["name"],
+}
+SCHEMAS = {
+    LANDING: schemas.RAW_LANDING,
     "bronze_station": schemas.STATION,
     "silver_station": schemas.STATION,
     "dim_station": schemas.DIM_STATION,
-}
-BATCHED = {
     "bronze_measure": schemas.MEASURE,
     "silver_measure": schemas.MEASURE,
     "fact_measurement": schemas.FACT_MEASUREMENT,
     "quarantine": schemas.ISSUE,
+    COUNTER: schemas.COUNTER,
 }
-LANDING = "raw_landing"
-SEQUENCE = "key_sequence"
-SCHEMAS = {
-    **VERSIONED,
-    **BATCHED,
-    LANDING: schemas.RAW_LANDING,
-    SEQUENCE: schemas.KEY_SEQUENCE,
-}
-# The partition column that counts the states of a table.
-COUNTED = {**dict.fromkeys(VERSIONED, "version"), LANDING: "generation"}
 
 
 class Warehouse:
+    """Sees the states as of its first use of a table, and what it writes itself."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self._created: set[str] = set()
+        self._states: dict[str, int] = {}
 
-    def _path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def create(self, name: str) -> None:
-        """Creates the table, without rows, if it is missing."""
-        if name not in self._created:
-            self.empty(name).write.mode("ignore").parquet(self._path(name))
-            self._created.add(name)
+    def empty(self, name: str) -> DataFrame:
+        return schemas.empty(self.spark, SCHEMAS[name])
 
     def exists(self, name: str) -> bool:
         try:
-            self.spark.read.schema(SCHEMAS[name]).parquet(self._path(name))
+            self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" in str(missing):
                 return False
             raise
         return True
 
-    def _stored(self, name: str) -> DataFrame:
-        """The table with its partition columns.
+    def _path(self, name: str, state: int | None = None) -> str:
+        if name not in STATEFUL:
+            return f"{self.root}/{name}"
+        return f"{self.root}/{name}/state-{self._state(name) if state is None else state}"
 
-        The schema is always given: left alone, Spark reads a batch '2026' as a number.
-        """
-        self.create(name)
-        layout = StructType([*SCHEMAS[name].fields])
-        if name in COUNTED:
-            layout.add(COUNTED[name], LongType())
-        return self.spark.read.schema(layout).parquet(self._path(name))
-
-    def empty(self, name: str) -> DataFrame:
-        return schemas.empty(self.spark, SCHEMAS[name])
-
-    def _newest(self, name: str) -> int:
-        """The greatest version or generation, 0 if none; only partition values are read."""
-        return self._stored(name).agg(F.max(COUNTED[name])).first()[0] or 0
+    def create(self, name: str) -> None:
+        """Creates the table, without rows, if it is missing."""
+        if name not in self._created:
+            first = self._path(name, 0)
+            self.empty(name).write.mode("ignore").parquet(first)
+            self._created.add(name)
 
     def read(self, name: str) -> DataFrame:
-        """The current content; the newest version where the table has versions.
+        """The current content.
 
-        That version is read by its own path, so that its size is known: the join
-        strategy depends on it, and the versions before do not count.
+        The schema is always given: left alone, Spark reads a batch '2026' as a
+        number. A state is read by its own path, so Spark knows its size when it
+        chooses a join.
         """
-        if name not in COUNTED:
-            return self._stored(name)
-        newest = self._newest(name)
-        if newest == 0:
-            return self.empty(name)
-        path = f"{self._path(name)}/{COUNTED[name]}={newest}"
-        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
+        self.create(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self._path(name))
 
     def find(self, name: str) -> DataFrame | None:
         """The current content, or None if the table does not exist."""
@@ -102,39 +98,47 @@ class Warehouse:
 
     def batch(self, name: str, stamp: str) -> DataFrame:
         """One batch; the filter prunes all other partitions."""
-        return self.read(name).filter(F.col("ingested_at") == stamp)
+        return self.read(name).filter(F.col(BATCH) == stamp)
 
-    def write_version(self, name: str, df: DataFrame) -> None:
-        version = self._newest(name) + 1
-        rows = df.select(*SCHEMAS[name].fieldNames(), F.lit(version).alias("version"))
-        self._replace(name, rows, ["version"])
+    def append(self, name: str, df: DataFrame) -> None:
+        self.create(name)
+        self._writer(name, df).mode("append").parquet(self._path(name))
 
     def replace_batch(self, name: str, df: DataFrame) -> None:
         """Writes the batches in `df` in place of their earlier content."""
-        self._replace(name, df.select(*SCHEMAS[name].fieldNames()), ["ingested_at"])
+        self.create(name)
+        writer = self._writer(name, df).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self._path(name))
 
-    def append(self, name: str, df: DataFrame) -> None:
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Makes `df`, which may come from the current state, the next state."""
+        self.create(name)
+        following = self._state(name) + 1
+        self._writer(name, df).mode("overwrite").parquet(self._path(name, following))
+        self._count(f"{name}.state", following)
+        self._states[name] = following
+
+    def _writer(self, name: str, df: DataFrame):
         rows = df.select(*SCHEMAS[name].fieldNames())
-        partitions = ["ingested_at"] if "ingested_at" in rows.columns else []
-        if name == LANDING:
-            generation = max(self._newest(name), 1)
-            rows = rows.withColumn("generation", F.lit(generation))
-            partitions = ["generation", "ingested_at"]
-        rows.write.mode("append").partitionBy(*partitions).parquet(self._path(name))
-
-    def replace_landing(self, df: DataFrame) -> None:
-        """A new generation of the landing; the one before stays as it was."""
-        generation = self._newest(LANDING) + 1
-        rows = df.select(*SCHEMAS[LANDING].fieldNames(), F.lit(generation).alias("generation"))
-        self._replace(LANDING, rows, ["generation", "ingested_at"])
-
-    def _replace(self, name: str, rows: DataFrame, partitions: list[str]) -> None:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions)
-            .parquet(self._path(name))
+        partitions = STATEFUL.get(name) or PARTITIONS.get(name) or []
+        return rows.write.partitionBy(*partitions)
+
+    # --- counters ------------------------------------------------------------
+
+    def _counted(self, counter: str) -> int:
+        rows = self.read(COUNTER).filter(F.col("name") == counter)
+        return rows.agg(F.max("value")).first()[0] or 0
+
+    def _count(self, counter: str, value: int) -> None:
+        row = self.spark.range(1).select(
+            F.lit(value).cast("bigint").alias("value"), F.lit(counter).alias("name")
         )
+        self.append(COUNTER, row)
+
+    def _state(self, name: str) -> int:
+        if name not in self._states:
+            self._states[name] = self._counted(f"{name}.state")
+        return self._states[name]
 
     def reserve(self, name: str, count: int) -> int:
         """Reserves `count` keys and returns the last one used before them.
@@ -142,9 +146,7 @@ class Warehouse:
         Reserved ahead of the write: a run that fails in between burns its
         numbers, and no key is ever given twice.
         """
-        used = self.read(SEQUENCE).filter(F.col("table_name") == name)
-        last = used.agg(F.max("last_key")).first()[0] or 0
+        last = self._counted(f"{name}.key")
         if count:
-            row = self.spark.createDataFrame([(name, last + count)], schemas.KEY_SEQUENCE)
-            self.append(SEQUENCE, row.coalesce(1))
+            self._count(f"{name}.key", last + count)
         return last
