@@ -30,26 +30,21 @@ def shortfall(rows: Column, wanted: int) -> Column:
 
 def _report(df: DataFrame, layer: str, rules: list[Rule]) -> DataFrame:
     counted = df.agg(*[violations.alias(f"v{seq}") for seq, _, violations in rules])
-    rows = [
-        F.struct(
-            F.lit(seq).alias("seq"),
-            F.lit(layer).alias("layer"),
-            F.lit(name).alias("check"),
-            F.col(f"v{seq}").cast("bigint").alias("violations"),
-        )
+    rows = ", ".join(
+        f"named_struct('seq', {seq}, 'layer', '{layer}', 'check', '{name}',"
+        f" 'violations', bigint(v{seq}), 'ok', v{seq} = 0)"
         for seq, name, _ in rules
-    ]
-    return counted.select(F.inline(F.array(*rows))).withColumn("ok", F.col("violations") == 0)
+    )
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
 def _fixed(anchor: DataFrame, layer: str, seq: int, name: str, violations: int) -> DataFrame:
-    one = anchor.sparkSession.range(1)
-    return one.select(
-        F.lit(seq).alias("seq"),
-        F.lit(layer).alias("layer"),
-        F.lit(name).alias("check"),
-        F.lit(violations).cast("bigint").alias("violations"),
-        F.lit(violations == 0).alias("ok"),
+    return anchor.sparkSession.range(1).selectExpr(
+        f"{seq} AS seq",
+        f"'{layer}' AS layer",
+        f"'{name}' AS check",
+        f"bigint({violations}) AS violations",
+        f"{violations} = 0 AS ok",
     )
 
 

@@ -7,6 +7,8 @@ items, which carries its `unreadable` flag; the key test then drops it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -106,15 +108,17 @@ def _reading_suspect() -> Column:
     return _suspect(_READING_TEXTS, _READING_DOUBLES, []) | bad_name
 
 
-def _watched(items: DataFrame, suspect: Column, watch: Observation | None) -> DataFrame:
+def _watched(
+    items: DataFrame, suspect: Callable[[], Column], watch: Observation | None
+) -> DataFrame:
     if watch is None:
         return items
-    return items.observe(watch, F.count_if(suspect).alias("suspects"))
+    return items.observe(watch, F.count_if(suspect()).alias("suspects"))
 
 
 def flatten_stations(landing: DataFrame, watch: Observation | None = None) -> DataFrame:
     """One row per station item with a notation, plus its arrival order."""
-    items = _watched(_items(only_stations(landing), schemas.STATION_DOC), _station_suspect(), watch)
+    items = _watched(_items(only_stations(landing), schemas.STATION_DOC), _station_suspect, watch)
     item = F.col("item")
     return items.filter(~text.is_blank(item["notation"])).select(
         "landing_id",
@@ -143,7 +147,7 @@ def flatten_readings(landing: DataFrame, watch: Observation | None = None) -> Da
     items = _items(only_readings(landing), schemas.READING_DOC, named)
     item = F.col("item")
     dated = ~text.is_blank(item["dateTime"]) & F.col("measure_id").isNotNull()
-    return _watched(items, _reading_suspect(), watch).filter(dated).select(
+    return _watched(items, _reading_suspect, watch).filter(dated).select(
         "landing_id",
         F.col("pos").cast("bigint").alias("pos"),
         *named,

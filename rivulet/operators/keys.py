@@ -12,20 +12,22 @@ _PART, _ROW = "__part", "__row"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition there
 
 
-def stage_in_order(df: DataFrame, order: list[str], key: str) -> DataFrame:
+def stage_in_order(df: DataFrame, order: list[str] | None, key: str) -> DataFrame:
     """Writes `df`, sorted by `order`, to the shared folder with each row's place in it.
 
-    Rows that have their `key` already are sorted behind those that need one. The
-    written copy fixes the places: losing executors later cannot change a key,
-    and the frame may replace a table it was computed from.
+    `order` should tell all rows apart, so that the sort can split any group of
+    them. Without an order the rows stay in the partitions they come in, and
+    nothing is shuffled. Rows that have their `key` already are sorted behind
+    those that need one. The written copy fixes the places: losing executors later
+    cannot change a key, and the frame may replace a table it was computed from.
     """
     spark = df.sparkSession
-    has_key = key in df.columns
-    ordering = ([F.col(key).isNotNull()] if has_key else []) + [F.col(name) for name in order]
-    placed = (
-        df.orderBy(*ordering)
-        .withColumn(_PART, F.spark_partition_id())
-        .withColumn(_ROW, F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1))
+    ordered = df
+    if order:
+        first = [F.col(key).isNotNull()] if key in df.columns else []
+        ordered = df.orderBy(*first, *order)
+    placed = ordered.withColumn(_PART, F.spark_partition_id()).withColumn(
+        _ROW, F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     )
     path = scratch_path(spark, f"keys-{key}")
     placed.write.parquet(path)

@@ -136,14 +136,27 @@ def station_errors(catalogue: DataFrame, parameters: list[str]) -> DataFrame:
 
 
 def latest_for_measures(
-    resolved: DataFrame, readings: DataFrame, n: int, tie: list[str], newest: str = "datetime"
+    resolved: DataFrame,
+    readings: DataFrame,
+    n: int,
+    tie: list[str],
+    newest: str = "datetime",
+    bounded: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """The newest n readings of every resolved measure.
 
-    Cut to n per measure first: what then meets the join and the grouping by
-    measure holds at most n rows per key, however hot a measure is.
+    For any number of measures, readings are cut to n per measure first: what then
+    meets the join holds at most n rows per key, however hot a measure is. A caller
+    whose `resolved` has a fixed bound, such as the hits of a limited search, says
+    so; then only the readings of those measures are sorted at all.
+    With `how="left"` a measure without readings stays, with NULLs.
     """
+    chosen = resolved.select(
+        "landing_id", "pos", "station_id", "nth", "parameter", "nth_measure", "measure_id"
+    )
+    if bounded:
+        readings = readings.join(F.broadcast(chosen.select("measure_id")), "measure_id", "left_semi")
     newest_rows = latest_n(readings, n, ["measure_id"], newest, tie)
-    chosen = resolved.select("landing_id", "station_id", "nth", "parameter", "nth_measure", "measure_id")
     taken = [c for c in newest_rows.columns if c not in chosen.columns or c == "measure_id"]
-    return newest_rows.select(*taken).join(chosen, "measure_id", "inner")
+    return chosen.join(newest_rows.select(*taken), "measure_id", how)

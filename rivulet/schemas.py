@@ -1,7 +1,6 @@
 """One StructType per table and per document shape."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
@@ -79,5 +78,5 @@ TEXT_LIST = ArrayType(StringType())
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, in a form the optimizer sees as empty (createDataFrame([]) counts as huge)."""
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    return spark.range(1).select(*columns).limit(0)
+    columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    return spark.range(1).selectExpr(*columns).limit(0)

@@ -15,6 +15,8 @@ from rivulet.operators.flatten import station_catalogue
 from rivulet.session import scratch_path
 from rivulet.sources.tables import LANDING, Warehouse
 
+# Up to this search limit the found stations' measures are small enough to broadcast.
+FEW_STATIONS = 100
 READING_FIELDS = ["dateTime", "value", "quality", "completeness"]
 
 
@@ -23,12 +25,17 @@ def batch_stamp() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def readings_payloads(readings: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One JSON document per key. For groups of a known bound, such as the newest n."""
-    item = F.struct(*READING_FIELDS)
-    ordered = F.array_sort(F.collect_list(F.struct(*order, item.alias("item"))))
+def readings_payloads(ranked: DataFrame, keys: list[str]) -> DataFrame:
+    """One JSON document per key, items by `rank`; no items where the rank is NULL.
+
+    For groups of a known bound, such as the newest n readings per measure.
+    """
+    item = F.when(
+        F.col("rank").isNotNull(), F.struct("rank", F.struct(*READING_FIELDS).alias("item"))
+    )
+    ordered = F.array_sort(F.collect_list(item))
     items = F.transform(ordered, lambda x: x["item"]).alias("items")
-    return readings.groupBy(*keys).agg(F.to_json(F.struct(items)).alias("payload"))
+    return ranked.groupBy(*keys).agg(F.to_json(F.struct(items)).alias("payload"))
 
 
 def _write(warehouse: Warehouse, rows: DataFrame, append: bool) -> None:
@@ -48,17 +55,19 @@ def drop_datasets(warehouse: Warehouse, names: list[str], pattern: str | None =
 def land_payloads(
     warehouse: Warehouse,
     payloads: DataFrame,
-    order: list[str],
+    order: list[str] | None = None,
     ingested_at: str | None = None,
     append: bool = True,
 ) -> dict[str, object]:
-    """Lands (dataset, payload) rows as one batch, with ids in the given order.
+    """Lands (dataset, payload) rows as one batch.
 
-    The batch is written at once and at the end. Without `append` it replaces
-    all station and readings payloads landed before.
+    Ids follow `order`, columns that tell the rows apart; without it they follow the
+    rows as they come, which needs no shuffle and suits bulk loads. The batch is
+    written at once and at the end. Without `append` it replaces all station and
+    readings payloads landed before.
     """
     stamp = ingested_at or batch_stamp()
-    columns = list(dict.fromkeys(["dataset", "payload", *order]))
+    columns = list(dict.fromkeys(["dataset", "payload", *(order or [])]))
     staged = keys.stage_in_order(payloads.select(*columns), order, "id")
     count = staged.count()
     start = warehouse.reserve(LANDING, count)
@@ -74,7 +83,7 @@ def land_payload(
     row = warehouse.spark.range(1).select(
         F.lit(dataset).alias("dataset"), F.lit(payload).alias("payload")
     )
-    return land_payloads(warehouse, row, ["dataset"], ingested_at)
+    return land_payloads(warehouse, row, None, ingested_at)
 
 
 def payload_files(spark: SparkSession, path: str) -> DataFrame:
@@ -169,12 +178,17 @@ def land_run(
         raise ValidationError(f"station {error.station_id}: {error.reason} ({error.detail})")
 
     resolved = lookup.resolved_rows(lookup.resolve_measures(catalogue, parameters))
-    newest = lookup.latest_n(
-        readings, limit, ["measure_id"], "dateTime", ["value", "quality", "completeness"]
+    asked = lookup.latest_for_measures(
+        resolved,
+        readings,
+        limit,
+        ["value", "quality", "completeness"],
+        newest="dateTime",
+        bounded=search_limit <= FEW_STATIONS,
+        how="left",
     )
-    asked = resolved.join(newest, "measure_id", "left")
     place = ["pos", "nth", "nth_measure"]
-    payloads = _payloads_or_empty(asked, ["measure_id", "parameter", *place]).select(
+    payloads = readings_payloads(asked, ["measure_id", "parameter", *place]).select(
         text.readings_dataset(F.col("parameter"), F.col("measure_id")).alias("dataset"),
         "payload",
         *place,
@@ -186,10 +200,3 @@ def land_run(
     )
     return land_payloads(warehouse, first.unionByName(payloads), place, ingested_at, append)
 
-
-def _payloads_or_empty(asked: DataFrame, keys: list[str]) -> DataFrame:
-    """As readings_payloads; a measure without readings gives a document without items."""
-    item = F.when(F.col("rank").isNotNull(), F.struct("rank", F.struct(*READING_FIELDS).alias("item")))
-    ordered = F.array_sort(F.collect_list(item))
-    items = F.transform(ordered, lambda x: x["item"]).alias("items")
-    return asked.groupBy(*keys).agg(F.to_json(F.struct(items)).alias("payload"))

@@ -56,7 +56,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._created: set[str] = set()
-        self._states: dict[str, int] = {}
+        self._counters: dict[str, int] | None = None
 
     def empty(self, name: str) -> DataFrame:
         return schemas.empty(self.spark, SCHEMAS[name])
@@ -89,6 +89,8 @@ class Warehouse:
         number. A state is read by its own path, so Spark knows its size when it
         chooses a join.
         """
+        if name in STATEFUL and name != LANDING and self._state(name) == 0:
+            return self.empty(name)
         self.create(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self._path(name))
 
@@ -112,11 +114,9 @@ class Warehouse:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Makes `df`, which may come from the current state, the next state."""
-        self.create(name)
         following = self._state(name) + 1
         self._writer(name, df).mode("overwrite").parquet(self._path(name, following))
         self._count(f"{name}.state", following)
-        self._states[name] = following
 
     def _writer(self, name: str, df: DataFrame):
         rows = df.select(*SCHEMAS[name].fieldNames())
@@ -126,19 +126,22 @@ class Warehouse:
     # --- counters ------------------------------------------------------------
 
     def _counted(self, counter: str) -> int:
-        rows = self.read(COUNTER).filter(F.col("name") == counter)
-        return rows.agg(F.max("value")).first()[0] or 0
+        """The value of a counter; all of them (two per table at most) are read once."""
+        if self._counters is None:
+            newest = self.read(COUNTER).groupBy("name").agg(F.max("value").alias("value"))
+            self._counters = {row["name"]: row["value"] for row in newest.collect()}
+        return self._counters.get(counter, 0)
 
     def _count(self, counter: str, value: int) -> None:
         row = self.spark.range(1).select(
             F.lit(value).cast("bigint").alias("value"), F.lit(counter).alias("name")
         )
         self.append(COUNTER, row)
+        if self._counters is not None:
+            self._counters[counter] = value
 
     def _state(self, name: str) -> int:
-        if name not in self._states:
-            self._states[name] = self._counted(f"{name}.state")
-        return self._states[name]
+        return self._counted(f"{name}.state")
 
     def reserve(self, name: str, count: int) -> int:
         """Reserves `count` keys and returns the last one used before them.

@@ -36,15 +36,10 @@ def _dimension(spark: SparkSession, sf: str) -> DataFrame:
     return keys.assign_keys(merged, "station_key", conform.STATION_KEY)
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
+def _silver(spark: SparkSession, sf: str, stations: DataFrame | None = None) -> DataFrame:
+    stations = _stations(spark, sf) if stations is None else stations
     return conform.new_silver_measures(
-        _bronze(spark, sf), _stations(spark, sf), schemas.empty(spark, schemas.MEASURE)
-    )
-
-
-def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return conform.new_facts(
-        _silver(spark, sf), _dimension(spark, sf), schemas.empty(spark, schemas.FACT_MEASUREMENT)
+        _bronze(spark, sf), stations, schemas.empty(spark, schemas.MEASURE)
     )
 
 
@@ -56,8 +51,9 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 
 def flagship_fact(spark: SparkSession, sf: str) -> DataFrame:
     """Landed JSON to facts: flatten, conform, first per key, station key lookup."""
-    silver = _silver(spark, sf)
-    facts = lookup.attach(silver, _dimension(spark, sf), "station_id", "station_key")
+    dimension = _dimension(spark, sf)
+    silver = _silver(spark, sf, dimension)
+    facts = lookup.attach(silver, dimension, "station_id", "station_key")
     return facts.drop("landing_id", "pos")
 
 
@@ -229,7 +225,7 @@ def fetch_all_units(spark: SparkSession, sf: str) -> DataFrame:
             "completeness": F.lit("Complete"),
         }
     )
-    payloads = landing_source.readings_payloads(newest, ["parameter", "measure_id"], ["rank"])
+    payloads = landing_source.readings_payloads(newest, ["parameter", "measure_id"])
     landed = payloads.select(
         F.lit(0).cast("bigint").alias("id"),
         text.readings_dataset(F.col("parameter"), F.col("measure_id")).alias("dataset"),
@@ -294,13 +290,16 @@ def silver_latest_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_fact_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return keys.assign_keys(_facts(spark, sf), "measurement_key", conform.READING_KEY)
+    dimension = _dimension(spark, sf)
+    nothing = schemas.empty(spark, schemas.FACT_MEASUREMENT)
+    facts = conform.new_facts(_silver(spark, sf, dimension), dimension, nothing)
+    return keys.assign_keys(facts, "measurement_key", conform.READING_KEY)
 
 
 def gold_fact_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The facts after the same load has run twice."""
-    silver = _written(_silver(spark, sf), "silver")
     dimension = _dimension(spark, sf)
+    silver = _written(_silver(spark, sf, dimension), "silver")
     first = _written(
         conform.new_facts(silver, dimension, schemas.empty(spark, schemas.FACT_MEASUREMENT)), "facts"
     )

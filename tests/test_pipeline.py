@@ -128,6 +128,18 @@ def test_payload_round_trip_and_default_stamp(warehouse):
     assert row["ingested_at"].endswith("+00:00")
 
 
+def test_bulk_landing_numbers_copies_without_a_shuffle(spark, warehouse):
+    """A third of the payloads are copies of one; each gets its own id."""
+    rows = spark.range(0, 3000, 1, 5).selectExpr(
+        "if(id % 3 = 0, 'same', concat('d', id)) AS dataset", "'{}' AS payload"
+    )
+    source.land_payloads(warehouse, rows, ingested_at=OLD)
+    source.land_payloads(warehouse, rows.limit(10), ingested_at=NEW)
+    landed = warehouse.read(LANDING)
+    assert sorted(r.id for r in landed.select("id").collect()) == list(range(1, 3011))
+    assert landed.filter("dataset = 'same' and ingested_at < '2026-02-25'").count() == 1000
+
+
 def test_land_files(warehouse, tmp_path):
     folder = tmp_path / "files"
     folder.mkdir()
