@@ -77,6 +77,12 @@ def is_iso_timestamp(text: Column) -> Column:
     return F.coalesce(conformed.rlike(ISO_PATTERN) & parses, F.lit(False))
 
 
+def to_instant(text: Column) -> Column:
+    """The point in time an ISO-8601 text names; NULL for any other text."""
+    conformed = conform_timestamp(text)
+    return F.when(conformed.rlike(ISO_PATTERN), F.try_to_timestamp(conformed))
+
+
 def is_blank(value: Column) -> Column:
     return value.isNull() | (value == "")
 

@@ -39,6 +39,16 @@ def conform_measures(bronze: DataFrame) -> DataFrame:
     )
 
 
+def with_instants(df: DataFrame) -> DataFrame:
+    """Adds `datetime_ts` and `ingested_at_ts` for analysis; the texts stay the keys."""
+    return df.withColumns(
+        {
+            "datetime_ts": text.to_instant(F.col("datetime")),
+            "ingested_at_ts": text.to_instant(F.col("ingested_at")),
+        }
+    )
+
+
 def new_silver_measures(bronze: DataFrame, stations: DataFrame, existing: DataFrame) -> DataFrame:
     """Readings to append to silver: of known stations, conformed, first per reading key."""
     known = lookup.keep_known(bronze, stations, "station_id")

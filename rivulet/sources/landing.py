@@ -39,11 +39,17 @@ def readings_payloads(ranked: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _write(warehouse: Warehouse, rows: DataFrame, append: bool) -> None:
+    """Files sorted by dataset let a reader of one kind skip the payloads of the others.
+
+    The writer sorts by the partition column in any case.
+    """
+    order = ["ingested_at", "dataset", "id"]
     if append:
-        warehouse.append(LANDING, rows)
+        warehouse.append(LANDING, rows.sortWithinPartitions(*order))
     else:
         kept = batches.survivors(warehouse.read(LANDING))
-        warehouse.replace(LANDING, kept.unionByName(rows.select(*kept.columns)))
+        both = kept.unionByName(rows.select(*kept.columns))
+        warehouse.replace(LANDING, both.sortWithinPartitions(*order))
 
 
 def drop_datasets(warehouse: Warehouse, names: list[str], pattern: str | None = None) -> None:

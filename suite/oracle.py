@@ -225,6 +225,12 @@ SQL: dict[str, str] = {
         f"""SELECT event_id, datetime, regexp_full_match(datetime, '{_ISO}')
         AND try_cast(datetime AS TIMESTAMPTZ) IS NOT NULL AS is_iso FROM spelled""",
     ),
+    "reading_instants": _with(
+        _MV,
+        """SELECT event_id,
+        CAST(epoch(CAST(replace(datetime, 'Z', '+00:00') AS TIMESTAMPTZ)) AS BIGINT) AS seconds,
+        CAST(epoch(CAST(ingested_at AS TIMESTAMPTZ)) AS BIGINT) AS landed_seconds FROM mv""",
+    ),
     "latest_batch": _with(
         _MV,
         """SELECT event_id, measure_id, datetime, ingested_at FROM mv

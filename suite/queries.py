@@ -129,6 +129,16 @@ def normalize_ts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reading_instants(spark: SparkSession, sf: str) -> DataFrame:
+    """Both time texts of a reading as points in time, here in seconds since 1970."""
+    timed = conform.with_instants(views.readings(spark, sf))
+    return timed.select(
+        "event_id",
+        F.unix_seconds("datetime_ts").alias("seconds"),
+        F.unix_seconds("ingested_at_ts").alias("landed_seconds"),
+    )
+
+
 def latest_batch(spark: SparkSession, sf: str) -> DataFrame:
     mv = views.readings(spark, sf).select("event_id", "measure_id", "datetime", "ingested_at")
     return batches.only_latest(mv, mv)
@@ -442,6 +452,7 @@ ALL = [
     last_segment,
     lower_ascii,
     normalize_ts,
+    reading_instants,
     latest_batch,
     route_datasets,
     overwrite_landing,

@@ -26,26 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str, precise: bool = False) -> DataFrame:
     """One reading per event; by the hour, so that some coincide, or to the microsecond."""
-    event_id = F.col("event_id")
-    unit = F.when(event_id % 2 == 0, UNITS[0]).otherwise(UNITS[1])
-    station = F.concat(F.lit("S"), F.col("user_id").cast("string"))
-    measure = F.concat_ws("-", station, F.col("event_type"), F.lit("i-subdaily"), unit)
-    if precise:
-        when = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    else:
-        when = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    batch = F.concat(
-        F.date_format(F.date_add(F.to_date("ts"), 1), "yyyy-MM-dd"), F.lit("T00:00:00+00:00")
-    )
-    return table(spark, sf_dir, "events").select(
+    unit = f"if(event_id % 2 = 0, '{UNITS[0]}', '{UNITS[1]}')"
+    hourly = """date_format(date_trunc('hour', ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")"""
+    exact = """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
+    next_day = "date_format(date_add(to_date(ts), 1), 'yyyy-MM-dd')"
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        station.alias("station_id"),
-        F.concat(F.lit("Rate "), F.col("event_type")).alias("parameter"),
-        unit.alias("unit"),
-        measure.alias("measure_id"),
-        when.alias("datetime"),
+        "concat('S', user_id) AS station_id",
+        "concat('Rate ', event_type) AS parameter",
+        f"{unit} AS unit",
+        f"concat_ws('-', concat('S', user_id), event_type, 'i-subdaily', {unit}) AS measure_id",
+        f"{exact if precise else hourly} AS datetime",
         "value",
-        batch.alias("ingested_at"),
+        f"concat({next_day}, 'T00:00:00+00:00') AS ingested_at",
     )
 
 
@@ -55,34 +48,29 @@ def readings_landing(mv: DataFrame) -> DataFrame:
     The reading itself; for each fourth event an item without dateTime; for each
     fifth the same reading again, with the other spelling of UTC and no value.
     """
-    event_id = F.col("event_id")
-
-    def item(when, value, quality, completeness):
-        return F.struct(
-            when.alias("dateTime"),
-            value.alias("value"),
-            quality.alias("quality"),
-            completeness.alias("completeness"),
+
+    def item(when: str, value: str, quality: str, completeness: str) -> str:
+        return (
+            f"named_struct('dateTime', {when}, 'value', {value}, 'quality', {quality},"
+            f" 'completeness', {completeness})"
         )
 
-    none, nothing = F.lit(None).cast("string"), F.lit(None).cast("double")
-    good = F.when(event_id % 2 == 0, "Good")
-    complete = F.when(event_id % 3 == 0, "Complete")
-    reading = item(F.col("datetime"), F.col("value"), good, complete)
-    undated = item(none, F.col("value"), F.lit("Bad"), none)
-    again = item(
-        text.conform_timestamp(F.col("datetime")), nothing, F.lit("Suspect"), none
-    )
-    items = (
-        F.when(event_id % 20 == 0, F.array(reading, undated, again))
-        .when(event_id % 4 == 0, F.array(reading, undated))
-        .when(event_id % 5 == 0, F.array(reading, again))
-        .otherwise(F.array(reading))
+    nothing = "CAST(NULL AS STRING)"
+    reading = item(
+        "datetime", "value", "if(event_id % 2 = 0, 'Good', NULL)",
+        "if(event_id % 3 = 0, 'Complete', NULL)",
     )
+    undated = item(nothing, "value", "'Bad'", nothing)
+    again = item("replace(datetime, 'Z', '+00:00')", "CAST(NULL AS DOUBLE)", "'Suspect'", nothing)
+    items = f"""CASE
+        WHEN event_id % 20 = 0 THEN array({reading}, {undated}, {again})
+        WHEN event_id % 4 = 0 THEN array({reading}, {undated})
+        WHEN event_id % 5 = 0 THEN array({reading}, {again})
+        ELSE array({reading}) END"""
     return mv.select(
         F.col("event_id").alias("id"),
         text.readings_dataset(F.col("parameter"), F.col("measure_id")).alias("dataset"),
-        F.to_json(F.struct(items.alias("items"))).alias("payload"),
+        F.expr(f"to_json(struct({items} AS items))").alias("payload"),
         "ingested_at",
     )
 
@@ -91,68 +79,45 @@ def station_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One station document per supplier.
 
     Each seventh holds a second item without notation; each eleventh the station
-    once more, without a label. `status` is a list, an empty list or an object.
+    once more, without a label. `status` is a list, an empty list or an object;
+    one property, or the measures of one, are missing here and there.
     """
-    key = F.col("s_suppkey")
-    station = F.concat(F.lit("S"), key.cast("string"))
-    status = (
-        F.when(key % 3 == 0, '[{"label":"Active"},{"label":"Old"}]')
-        .when(key % 3 == 1, "[]")
-        .otherwise('{"label":"Closed"}')
-    )
-    types = F.array(*[F.lit(t) for t in EVENT_TYPES])
-    offered = F.filter(types, lambda t: (t != "purchase") | (key % 6 != 5))
-    measured = F.filter(types, lambda t: (t != "click") | (key % 10 != 9))
-    units = F.array(*[F.lit(u) for u in reversed(UNITS)])
-
-    def measure(kind, unit):
-        return F.struct(
-            F.concat(
-                F.lit("http://example.org/id/measures/"),
-                F.concat_ws("-", station, kind, F.lit("i-subdaily"), unit),
-                F.lit("/"),
-            ).alias("@id"),
-            F.concat(F.lit("RATE_"), F.upper(kind)).alias("parameter"),
-        )
+    kinds = ", ".join(f"'{kind}'" for kind in EVENT_TYPES)
+    units = ", ".join(f"'{unit}'" for unit in reversed(UNITS))
+    measure = """named_struct(
+        '@id', concat('http://example.org/id/measures/S', s_suppkey, '-', t, '-i-subdaily-', u, '/'),
+        'parameter', concat('RATE_', upper(t)))"""
+
+    def item(notation: str, label: str) -> str:
+        return f"""to_json(named_struct(
+            'notation', {notation}, 'label', {label}, 'riverName', n_name,
+            'lat', s_acctbal, 'long', string(s_acctbal),
+            'easting', double(s_suppkey), 'northing', s_nationkey, 'status', status,
+            'observedProperty', offered, 'measures', measures))"""
 
-    def item(notation, label, state):
-        return F.to_json(
-            F.struct(
-                notation.alias("notation"),
-                label.alias("label"),
-                F.col("n_name").alias("riverName"),
-                F.col("s_acctbal").alias("lat"),
-                F.col("s_acctbal").cast("string").alias("long"),
-                key.cast("double").alias("easting"),
-                F.col("s_nationkey").alias("northing"),
-                F.parse_json(state).alias("status"),
-                F.transform(
-                    offered,
-                    lambda t: F.struct(
-                        F.concat(F.lit("http://example.org/def/op/rate-"), t).alias("@id")
-                    ),
-                ).alias("observedProperty"),
-                F.flatten(
-                    F.transform(measured, lambda t: F.transform(units, lambda u: measure(t, u)))
-                ).alias("measures"),
-            )
-        )
-
-    none = F.lit(None).cast("string")
-    items = F.array(
-        item(station, F.col("s_name"), status),
-        F.when(key % 7 == 0, item(F.lit(""), F.lit("blank"), status)),
-        F.when(key % 11 == 0, item(station, none, status)),
-    )
-    joined = F.array_join(F.filter(items, lambda x: x.isNotNull()), ",")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            key.alias("id"),
-            F.lit(text.STATION_DATASET).alias("dataset"),
-            F.concat(F.lit('{"items":['), joined, F.lit("]}")).alias("payload"),
-            F.lit(STATION_STAMP).alias("ingested_at"),
-        )
+    stations = table(spark, sf_dir, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey"), "left"
+    )
+    described = stations.selectExpr(
+        "*",
+        """parse_json(CASE s_suppkey % 3
+            WHEN 0 THEN '[{"label":"Active"},{"label":"Old"}]'
+            WHEN 1 THEN '[]'
+            ELSE '{"label":"Closed"}' END) AS status""",
+        f"""transform(
+            filter(array({kinds}), t -> t <> 'purchase' OR s_suppkey % 6 <> 5),
+            t -> named_struct('@id', concat('http://example.org/def/op/rate-', t))) AS offered""",
+        f"""flatten(transform(
+            filter(array({kinds}), t -> t <> 'click' OR s_suppkey % 10 <> 9),
+            t -> transform(array({units}), u -> {measure}))) AS measures""",
+    )
+    station, again = item("concat('S', s_suppkey)", "s_name"), item("concat('S', s_suppkey)", "NULL")
+    return described.selectExpr(
+        "s_suppkey AS id",
+        f"'{text.STATION_DATASET}' AS dataset",
+        f"""concat('{{"items":[', concat_ws(',', {station},
+            if(s_suppkey % 7 = 0, {item("''", "'blank'")}, NULL),
+            if(s_suppkey % 11 = 0, {again}, NULL)), ']}}') AS payload""",
+        f"'{STATION_STAMP}' AS ingested_at",
     )

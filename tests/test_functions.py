@@ -93,3 +93,9 @@ def test_first_status_label(spark):
         '[{"label":"Active"},{"label":"Old"}]', "[]", '{"label":"X"}', None, "Active", '[{"a":1}]',
     ]
     assert apply(spark, scalars.first_status_label, values) == ["Active"] + [None] * 5
+
+
+def test_to_instant(spark):
+    values = ["2026-02-25T01:00:00+01:00", "2026-02-25", "2026", "2026-02-30", None]
+    seconds = apply(spark, lambda c: F.unix_seconds(text.to_instant(c)), values)
+    assert seconds == [1771977600, 1771977600, None, None, None]

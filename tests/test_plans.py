@@ -23,15 +23,6 @@ def plan(df) -> str:
     return out.getvalue()
 
 
-def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.collect()
-        df.explain()
-    return out.getvalue()
-
-
 LAZY = [
     queries.flatten_readings, queries.flatten_stations, queries.silver_measure,
     queries.latest_n_readings, queries.upsert_last_wins, queries.upsert_merge,
@@ -132,7 +123,8 @@ def test_newest_batch_prunes_partitions(spark, data, warehouse):
     rows = views.readings_landing(views.readings(spark, data))
     warehouse.append(LANDING, rows)
     landed = warehouse.read(LANDING)
-    by_value = plan(warehouse.batch(LANDING, batches.latest_batch(landed)))
+    newest_stamp = batches.latest_batch(landed)
+    by_value = plan(warehouse.batch(LANDING, newest_stamp))
     assert re.search(r"PartitionFilters: \[.*ingested_at.* = 2024-01-31T00:00:00\+00:00", by_value)
     by_subquery = plan(batches.only_latest(landed, landed))
     assert re.search(r"PartitionFilters: \[.*ingested_at.*Subquery", by_subquery)
@@ -140,6 +132,14 @@ def test_newest_batch_prunes_partitions(spark, data, warehouse):
     assert re.search(r"ReadSchema: struct<>", newest)
 
 
+def test_station_scan_of_a_batch_is_pushed_to_the_files(spark, data, warehouse):
+    warehouse.append(LANDING, views.station_landing(spark, data))
+    landed = flatten.only_stations(warehouse.batch(LANDING, "2024-01-31T00:00:00+00:00"))
+    text = plan(flatten.flatten_stations(landed))
+    assert re.search(r"PushedFilters: .*EqualTo\(dataset,station_search\)", text)
+    assert re.search(r"PartitionFilters: .*ingested_at", text)
+
+
 def test_numbering_broadcasts_one_row_per_partition(spark):
     staged = keys.stage_in_order(spark.range(0, 1000, 1, 4).toDF("k"), ["k"], "key")
     numbered = keys.number_staged(staged, "key")
