@@ -149,6 +149,7 @@ def test_numbering_broadcasts_one_row_per_partition(spark):
 
 def test_layer_rules_share_one_pass_per_table(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.replace("bronze_station", spark.createDataFrame([], schemas.STATION))
     tables = warehouse.read("bronze_station"), warehouse.read("bronze_measure")
     text = plan(checks.bronze_checks(*tables, tables))
     # one pass for the rules per row, one for the duplicate groups
