@@ -5,14 +5,9 @@ import pytest
 from rivulet import session
 
 
-class Conf(dict):
-    def set(self, key, value):
-        self[key] = value
-
-
 class Session:
     def __init__(self, **conf):
-        self.conf = Conf(conf)
+        self.conf = conf
 
 
 def test_configured_folder_is_used(spark):
