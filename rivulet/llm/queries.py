@@ -27,8 +27,33 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listed(spans: str):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known forms and random strings in every document."""
+    from rivulet.llm import secrets
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
+    "op2_secrets": op2_secrets,
 }
 
 SQL: dict[str, str] = {}
