@@ -51,9 +51,38 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through a token file and back."""
+    from rivulet.llm import tokenfile
+    from rivulet.session import scratch_path
+
+    path = scratch_path(spark, "tokenfile")
+    tokenfile.write(table(spark, sf_dir, "documents"), path)
+    return tokenfile.read(spark, path, digest=True)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, huge ones by spliced chunks."""
+    from rivulet.llm import counts
+
+    return counts.count(table(spark, sf_dir, "documents")).withColumn(
+        "over_limit", F.col("n_tokens") > 1024
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    from rivulet.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
+    "op3_token_files": op3_token_files,
+    "op4_token_counts": op4_token_counts,
+    "op6_packing": op6_packing,
 }
 
 SQL: dict[str, str] = {}
