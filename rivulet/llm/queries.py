@@ -70,6 +70,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of twenty words that start earlier."""
+    from rivulet.llm import repeats
+
+    return repeats.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     from rivulet.llm import packing
@@ -82,6 +91,7 @@ ALL = {
     "op2_secrets": op2_secrets,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
+    "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
 }
 
