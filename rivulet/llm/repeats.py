@@ -28,8 +28,9 @@ seeds, which must agree together (128 bits or more).
 
 Defined cases: a null or empty text has no words; a document shorter than the window has
 no windows. Null doc_ids count as earlier than all others. Rows that share a doc_id are
-told apart by their text, in its order; of rows equal in both, one is the first. An empty
-table gives no rows; other columns are not read.
+told apart by their text, in the order of its hash; rows equal in both are one document
+and keep the same words. Where ids are null or repeated, `source` of a factor is the
+document's number in that order. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -178,6 +179,13 @@ def parse(rows: list, window: int = WINDOW) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows by way of a table in the shared folder, which cuts their lineage."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 _FACTOR = "array<struct<at:int,n:int,source:long,there:int>>"
 
 
@@ -186,19 +194,19 @@ def matches(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
 
     docs has doc (its order is the order of the corpus) and text.
     """
-    spark = docs.sparkSession
     indexed = docs.mapInArrow(_index(window, seed), _PHRASE)
-    shared = indexed.groupBy("mark").agg(F.count("*").alias("times")).where("times > 1")
-    path = scratch_path(spark, "phrases")
-    indexed.join(shared.select("mark"), "mark", "left_semi").write.parquet(path)
-    found = spark.read.parquet(path)
+    # Counted keys are written ahead of their joins: a join on a table that is read has
+    # exchanges of its own on both sides, whose hot partitions Spark can split.
+    shared = _written(
+        indexed.groupBy("mark").agg(F.count("*").alias("times")).where("times > 1").select("mark"),
+        "marks",
+    )
+    found = _written(indexed.join(shared, "mark", "left_semi"), "phrases")
     # 1. whole phrases
     references = found.groupBy("mark", "phrase").agg(
         F.min(F.struct("doc", "at")).alias("first"), F.min("n").alias("n")
     )
-    path = scratch_path(spark, "references")
-    references.select("mark", "phrase", "first.*", "n").write.parquet(path)
-    references = spark.read.parquet(path)
+    references = _written(references.select("mark", "phrase", "first.*", "n"), "references")
     source = references.select(
         "mark", "phrase", F.col("doc").alias("source"), F.col("at").alias("there")
     )
@@ -206,23 +214,25 @@ def matches(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
         ~(F.col("doc").eqNullSafe(F.col("source")) & (F.col("at") == F.col("there")))
     )
     # 2. borders: references that share a mark with another one
-    several = references.groupBy("mark").agg(F.count("*").alias("times")).where("times > 1")
+    several = _written(
+        references.groupBy("mark").agg(F.count("*").alias("times")).where("times > 1").select("mark"),
+        "several",
+    )
     unsure = (
-        references.join(several.select("mark"), "mark", "left_semi")
+        references.join(several, "mark", "left_semi")
         .groupBy("doc")
         .agg(F.collect_list(F.struct("at", "n")).alias("found"))
     )
     windows = docs.join(unsure, "doc").mapInArrow(
         _windows(window), "one long, two long, doc long, place int, at int"
     )
-    path = scratch_path(spark, "windows")
-    windows.write.parquet(path)
-    windows = spark.read.parquet(path)
-    earliest = (
+    windows = _written(windows, "windows")
+    earliest = _written(
         windows.groupBy("one", "two")
         .agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times"))
         .where("times > 1")
-        .select("one", "two", F.col("first.doc").alias("source"), F.col("first.place").alias("there"))
+        .select("one", "two", F.col("first.doc").alias("source"), F.col("first.place").alias("there")),
+        "earliest",
     )
     crossed = windows.join(earliest, ["one", "two"]).where(
         ~(F.col("doc").eqNullSafe(F.col("source")) & (F.col("place") == F.col("there")))
@@ -288,10 +298,22 @@ def _cut(window: int):
     return run
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc: the id or, where ids are null or repeated, a number in the order of id and text."""
+    doubt = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if doubt.where("n > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("doc", F.col("doc_id"))
+    tied = docs.withColumn("tie", F.xxhash64("text"))
+    order = tied.select(F.col("doc_id").alias("id"), F.col("tie").alias("t")).distinct()
+    order = order.orderBy(F.asc_nulls_first("id"), "t")
+    order = _written(order.withColumn("doc", F.monotonically_increasing_id()), "order")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("t"))
+    return tied.join(order, same).select("doc_id", "text", "doc")
+
+
 def deduplicate(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Per document: words, removed words, the kept text and its digest, and the factors."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = docs.withColumn("doc", F.col("doc_id"))
+    keyed = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = (
         matches(keyed.select("doc", "text"), window, seed)
         .groupBy("doc")
