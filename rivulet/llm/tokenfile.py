@@ -50,7 +50,9 @@ def _stage(file: str, end: int, block: int):
         def flush() -> pa.RecordBatch:
             sizes = [len(x) // encoder.dtype.itemsize for x in ids]
             flat = np.frombuffer(b"".join(ids), encoder.dtype)
-            found, times = np.unique(flat, return_counts=True)
+            times = np.bincount(flat, minlength=encoder.size)
+            found = np.flatnonzero(times)
+            times = times[found]
             row = [part, number, first, names, sizes, flat.astype("<u4").tobytes()]
             row += [found.tolist(), times.tolist()]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
