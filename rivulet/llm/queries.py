@@ -86,6 +86,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, against all vectors."""
+    from rivulet.llm import neighbours
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
@@ -93,6 +101,7 @@ ALL = {
     "op4_token_counts": op4_token_counts,
     "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
+    "op7_top_k": op7_top_k,
 }
 
 SQL: dict[str, str] = {}
