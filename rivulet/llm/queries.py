@@ -94,6 +94,13 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of five-word shingles are alike to 0.8."""
+    from rivulet.llm import jaccard
+
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
@@ -102,6 +109,7 @@ ALL = {
     "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
     "op7_top_k": op7_top_k,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 SQL: dict[str, str] = {}
