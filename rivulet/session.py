@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     return _local_folder()
 
@@ -50,3 +50,10 @@ def _local_folder() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; never reused, so never overwritten."""
     return f"{shared_dir(spark)}/rivulet/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path that nothing reads any more, in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
