@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.llm import words as W
-from rivulet.session import scratch_path
+from rivulet.llm.scratch import Scratch
 
 SIZE = 5
 PERCENT = 80
@@ -44,12 +44,6 @@ SKETCH = 1 << 20  # buckets
 ROUNDS = 3
 
 
-def _written(rows: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
-
-
 def sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
     """The sorted distinct shingles of each text, as hashes."""
     alphabet = W.blank_separated(fold=True)
@@ -155,15 +149,36 @@ def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT)
     return np.unique(np.concatenate(out))
 
 
-_BASE = "doc_id long, n_shingles long, one long, two long, signatures array<long>"
+_BASE = "doc_id long, n_shingles long, one long, two long"
 
 
-def _describe(mask, size: int, percent: int):
+def _index(mask, size: int, percent: int):
+    """A row for each signature; computed anew where it is read, which is less to store."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = mask.value
         for batch in W.slices(batches):
             found = sets(batch.column("text"), size)
             marks = [signatures(s, often[_bucket(s, len(often))], percent) for s in found]
+            times = np.array([len(m) for m in marks], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(marks)), times))
+            flat = np.concatenate(marks) if marks else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(flat.view(np.int64)),
+                    batch.column("doc").take(rows),
+                    pa.array(np.array([len(s) for s in found], np.int64)).take(rows),
+                ],
+                names=["signature", "doc", "n"],
+            )
+
+    return run
+
+
+def _describe(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches):
+            found = sets(batch.column("text"), size)
             one = [int(W.mix(s.copy()).sum(dtype=np.uint64).view(np.int64)) for s in found]
             two = [int(W.mix(~s).sum(dtype=np.uint64).view(np.int64)) for s in found]
             yield pa.RecordBatch.from_arrays(
@@ -172,9 +187,8 @@ def _describe(mask, size: int, percent: int):
                     pa.array([len(s) for s in found], pa.int64()),
                     pa.array(one, pa.int64()),
                     pa.array(two, pa.int64()),
-                    pa.array([m.view(np.int64) for m in marks], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "one", "two", "signatures"],
+                names=["doc_id", "n_shingles", "one", "two"],
             )
 
     return run
@@ -203,16 +217,16 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(_verify(size, percent), "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, out: Scratch) -> DataFrame:
     """node, label: the smallest node that the edges (a, b) connect each node with.
 
     Each round takes the smallest label among a node and its neighbours, then the label of
     that label; labels only fall, and rounds end when none does. Rounds are written.
     """
-    both = _written(
+    both = out.write(
         edges.where("a <> b").unionAll(edges.where("a <> b").select("b", "a")).distinct(), "edges"
     )
-    labels = _written(
+    labels = out.write(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")),
         "labels",
     )
@@ -226,19 +240,19 @@ def components(edges: DataFrame) -> DataFrame:
         next_ = next_.join(up, "new", "left").select(
             "node", "label", F.least("new", F.coalesce("up", "new")).alias("new")
         )
-        next_ = _written(next_, "labels")
+        next_ = out.write(next_, "labels")
         labels = next_.select("node", F.col("new").alias("label"))
         if next_.where("new <> label").isEmpty():
             return labels
 
 
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, links: DataFrame, turn: Scratch, out: Scratch) -> DataFrame:
     """Labels (doc, class) after the links (a, b) between documents."""
     a = labels.select(F.col("doc").alias("a"), F.col("class").alias("ca"))
     b = labels.select(F.col("doc").alias("b"), F.col("class").alias("cb"))
     edges = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    joined = components(edges).select(F.col("node").alias("class"), F.col("label").alias("to"))
-    return _written(
+    joined = components(edges, turn).select(F.col("node").alias("class"), F.col("label").alias("to"))
+    return out.write(
         labels.join(joined, "class", "left").select(
             "doc", F.coalesce("to", "class").alias("class")
         ),
@@ -246,17 +260,17 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _open(posting: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(posting: DataFrame, labels: DataFrame, out: Scratch) -> DataFrame:
     """Postings (signature, doc, n, class) of signatures that still hold several classes."""
     now = posting.join(labels, "doc")
-    several = _written(
+    several = out.write(
         now.groupBy("signature")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .where("low <> high")
         .select("signature"),
         "open",
     )
-    return _written(now.join(several, "signature", "left_semi"), "postings")
+    return out.write(now.join(several, "signature", "left_semi"), "postings")
 
 
 def _fit(n, m, percent: int):
@@ -275,22 +289,24 @@ def classes(
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     mask = spark.sparkContext.broadcast(frequent(docs, size, buckets))
-    base = _written(docs.mapInArrow(_describe(mask, size, percent), _BASE), "sets")
+    kept, turn = Scratch(), Scratch()  # tables of the whole run, and of one round
+    base = kept.write(docs.mapInArrow(_describe(size), _BASE), "sets")
     content = ["n_shingles", "one", "two"]
     whole = base.where("doc_id is not null and n_shingles > 0")
-    equal = _written(
+    equal = kept.write(
         whole.groupBy(*content).agg(F.min("doc_id").alias("doc")), "equal"
     )
-    index = whole.select(F.explode("signatures").alias("signature"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
-    keys = _written(
+    named = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
+    index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long, n long")
+    keys = kept.write(
         index.groupBy("signature").agg(F.count("*").alias("times")).where("times > 1").select("signature"),
         "signatures",
     )
-    posting = _written(
+    posting = kept.write(
         index.join(keys, "signature", "left_semi").join(equal.select("doc"), "doc", "left_semi"),
         "postings",
     )
-    texts = _written(
+    texts = kept.write(
         docs.withColumnRenamed("doc_id", "doc")
         .join(posting.select("doc").distinct(), "doc", "left_semi")
         .dropDuplicates(["doc"]),
@@ -298,11 +314,11 @@ def classes(
     )
     # rows of one doc_id with other texts link through it, whatever their sets say
     labels = equal.select("doc", F.col("doc").alias("class")).distinct()
-    labels = _written(labels, "classes")
+    labels = kept.write(labels, "classes")
     for turn in range(rounds):
-        now = _open(posting, labels)
+        now = _open(posting, labels, turn)
         order = F.xxhash64(F.lit(turn), "doc") if turn else F.col("doc")
-        leaders = _written(
+        leaders = turn.write(
             now.groupBy("signature").agg(
                 F.min(F.struct(order.alias("order"), "doc", "n", "class")).alias("leader")
             ),
@@ -322,14 +338,17 @@ def classes(
             .agg(F.max(F.struct("shared", F.col("a").alias("a"))).alias("best"))
             .select(F.col("best.a").alias("a"), "b")
         )
-        links = _written(verified(pairs, texts, size, percent), "links")
-        if links.isEmpty():
+        links = turn.write(verified(pairs, texts, size, percent), "links")
+        done = links.isEmpty()
+        if not done:
+            labels = _relabelled(labels, links, turn, kept)
+        turn.discard()
+        if done:
             break
-        labels = _relabelled(labels, links)
     # everything that shares a signature and is still apart: pairs of classes first, so
     # that members of one class never meet each other
-    now = _open(posting, labels)
-    held = _written(now.select("signature", "class").distinct(), "held")
+    now = _open(posting, labels, turn)
+    held = turn.write(now.select("signature", "class").distinct(), "held")
     apart = held.join(
         held.select("signature", F.col("class").alias("other")), "signature"
     ).where("class < other")
@@ -344,9 +363,10 @@ def classes(
         .select("a", "b")
         .distinct()
     )
-    links = _written(verified(pairs, texts, size, percent), "links")
+    links = turn.write(verified(pairs, texts, size, percent), "links")
     if not links.isEmpty():
-        labels = _relabelled(labels, links)
+        labels = _relabelled(labels, links, turn, kept)
+    turn.discard()
     final = equal.join(labels, "doc").select(*content, "class")
     rows = base.select("doc_id", *content)
     out = rows.join(final, content, "left").select(

@@ -101,6 +101,29 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of each category of toxicity for every document."""
+    from rivulet.llm import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, chain).withColumn(
+        "toxic_predicted", (F.col("toxic") >= toxicity.THRESHOLD).cast("int")
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four fifths of the labels."""
+    from rivulet.llm import features, quality
+
+    documents = table(spark, sf_dir, "documents")
+    held_out = features.crc32_fold() == 0
+    model = quality.fit(documents, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(documents, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
@@ -110,6 +133,8 @@ ALL = {
     "op6_packing": op6_packing,
     "op7_top_k": op7_top_k,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}
