@@ -315,9 +315,9 @@ def classes(
     # rows of one doc_id with other texts link through it, whatever their sets say
     labels = equal.select("doc", F.col("doc").alias("class")).distinct()
     labels = kept.write(labels, "classes")
-    for turn in range(rounds):
+    for count in range(rounds):
         now = _open(posting, labels, turn)
-        order = F.xxhash64(F.lit(turn), "doc") if turn else F.col("doc")
+        order = F.xxhash64(F.lit(count), "doc") if count else F.col("doc")
         leaders = turn.write(
             now.groupBy("signature").agg(
                 F.min(F.struct(order.alias("order"), "doc", "n", "class")).alias("leader")
