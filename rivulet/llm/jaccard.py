@@ -18,7 +18,8 @@ Classes. Equal sets are one document from the start. Links are needed only betwe
 classes: a few rounds verify one pair for each document, against the document with which
 it shares most signatures among the leaders of its signature groups, and join classes.
 Then every pair of documents that share a signature and are still in different classes is
-verified. So no link between different classes is missed, and groups of thousands of near
+verified if they share as many as linked documents must: prefixes go on a little beyond
+the first signature, which asks for some more. So no link between different classes is missed, and groups of thousands of near
 copies cost a few pairs for each copy, not all pairs. Pairs are verified on the texts.
 
 Defined cases: a null or empty text has an empty set and is a class of its own; fewer
@@ -42,6 +43,7 @@ SIZE = 5
 PERCENT = 80
 SKETCH = 1 << 20  # buckets
 ROUNDS = 3
+EXTRA = 5  # percent of a set by which prefixes go on, so that more must be shared
 
 
 def sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
@@ -112,23 +114,58 @@ def _chunks(rows: np.ndarray, names: list[int] | None = None) -> Iterator[pa.Rec
         )
 
 
+def _grades(n: int, percent: int) -> list[int]:
+    """Size classes in which a set of n shingles gives signatures: its own and a partner's."""
+    return list(range(n.bit_length() - 1, (n * 100 // percent).bit_length()))
+
+
+def _groups(common: np.ndarray, grade: int) -> np.ndarray:
+    return (common & np.uint64(0xFFFFFF)).astype(np.int64) % max(1, (1 << grade) // 10)
+
+
+def _misses(n: int, percent: int) -> int:
+    """Shingles that a set of n can miss of one that it links with; -1: only an equal set."""
+    if (n + 1) * percent > n * 100 and n * percent > (n - 1) * 100:
+        return -1
+    return n - (percent * n + 99) // 100
+
+
+def least_shared(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> int:
+    """Signatures that a set shares with any that it links with, if that one asks no fewer.
+
+    Prefixes go on EXTRA percent of the set beyond what one shared signature needs, as far
+    as the set allows; each step more is a shared signature more.
+    """
+    n = len(shingles)
+    miss = _misses(n, percent)
+    if miss < 0:
+        return 0
+    want = 1 + n * EXTRA // 100
+    common = shingles[often]
+    rare = n - len(common)
+    if rare >= miss + want:
+        return want
+    moves = [
+        rare + len(common) - len(np.unique(_groups(common, grade)))
+        for grade in _grades(n, percent)
+    ]
+    return max(1, min(want, min(moves) - miss))
+
+
 def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Signatures of a sorted set; often says which of its shingles are frequent."""
     n = len(shingles)
-    need = n - (percent * n + 99) // 100 + 1  # possible misses and one more
-    if n * (100 - percent) < percent:  # only an equal set can link
-        if n < 2 or (n + 1) * percent > n * 100:
-            return shingles[:0]
+    miss = _misses(n, percent)
+    if miss < 0:
+        return shingles[:0]
+    need = miss + 1 + n * EXTRA // 100
     rare = shingles[~often][:need]
     if len(rare) == need:
         return rare
     out = [rare]
     common = shingles[often]
-    own = n.bit_length() - 1
-    largest = (n * 100 // percent).bit_length() - 1
-    for grade in range(own, largest + 1):
-        groups = max(1, (1 << grade) // 10)
-        group = (common & np.uint64(0xFFFFFF)).astype(np.int64) % groups
+    for grade in _grades(n, percent):
+        group = _groups(common, grade)
         order = np.argsort(group, kind="stable")
         starts = np.flatnonzero(np.diff(group[order], prepend=-1))
         first = np.zeros(len(common), bool)
@@ -149,7 +186,7 @@ def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT)
     return np.unique(np.concatenate(out))
 
 
-_BASE = "doc_id long, n_shingles long, one long, two long"
+_BASE = "doc_id long, n_shingles long, least int, one long, two long"
 
 
 def _index(mask, size: int, percent: int):
@@ -161,34 +198,32 @@ def _index(mask, size: int, percent: int):
             found = sets(batch.column("text"), size)
             marks = [signatures(s, often[_bucket(s, len(often))], percent) for s in found]
             times = np.array([len(m) for m in marks], np.int64)
-            rows = pa.array(np.repeat(np.arange(len(marks)), times))
             flat = np.concatenate(marks) if marks else np.empty(0, np.uint64)
+            docs = batch.column("doc").take(pa.array(np.repeat(np.arange(len(marks)), times)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(flat.view(np.int64)),
-                    batch.column("doc").take(rows),
-                    pa.array(np.array([len(s) for s in found], np.int64)).take(rows),
-                ],
-                names=["signature", "doc", "n"],
+                [pa.array(flat.view(np.int64)), docs], names=["signature", "doc"]
             )
 
     return run
 
 
-def _describe(size: int):
+def _describe(mask, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = mask.value
         for batch in W.slices(batches):
             found = sets(batch.column("text"), size)
+            least = [least_shared(s, often[_bucket(s, len(often))], percent) for s in found]
             one = [int(W.mix(s.copy()).sum(dtype=np.uint64).view(np.int64)) for s in found]
             two = [int(W.mix(~s).sum(dtype=np.uint64).view(np.int64)) for s in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([len(s) for s in found], pa.int64()),
+                    pa.array(least, pa.int32()),
                     pa.array(one, pa.int64()),
                     pa.array(two, pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "one", "two"],
+                names=["doc_id", "n_shingles", "least", "one", "two"],
             )
 
     return run
@@ -286,32 +321,49 @@ def classes(
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    if percent < 50:
+        raise ValueError("groups of frequent shingles cover similarities of 50 percent or more")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     mask = spark.sparkContext.broadcast(frequent(docs, size, buckets))
     kept, turn = Scratch(), Scratch()  # tables of the whole run, and of one round
-    base = kept.write(docs.mapInArrow(_describe(size), _BASE), "sets")
+    base = kept.write(docs.mapInArrow(_describe(mask, size, percent), _BASE), "sets")
     content = ["n_shingles", "one", "two"]
     whole = base.where("doc_id is not null and n_shingles > 0")
     equal = kept.write(
-        whole.groupBy(*content).agg(F.min("doc_id").alias("doc")), "equal"
+        whole.groupBy(*content).agg(F.min("doc_id").alias("doc"), F.min("least").alias("least")),
+        "equal",
     )
     named = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
-    index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long, n long")
-    keys = kept.write(
+    index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long")
+    keys = turn.write(
         index.groupBy("signature").agg(F.count("*").alias("times")).where("times > 1").select("signature"),
         "signatures",
     )
-    posting = kept.write(
-        index.join(keys, "signature", "left_semi").join(equal.select("doc"), "doc", "left_semi"),
-        "postings",
+    sizes = equal.groupBy("doc").agg(F.max("n_shingles").alias("n"), F.min("least").alias("least"))
+    shared = turn.write(
+        index.join(keys, "signature", "left_semi").join(sizes, "doc").distinct(), "shared"
+    )
+    keys = turn.write(
+        shared.groupBy("signature").agg(F.count("*").alias("times")).where("times > 1").select("signature"),
+        "several",
     )
+    shared = turn.write(shared.join(keys, "signature", "left_semi"), "shared")
+    # a partner has at least `percent` of the shingles and asks for as much less
+    fewest = F.lit(1) + F.floor(F.floor(F.col("n") * percent / 100) * EXTRA / 100)
+    enough = turn.write(
+        shared.groupBy("doc", "n", "least")
+        .agg(F.count("*").alias("times"))
+        .where(F.col("times") >= F.least("least", fewest))
+        .select("doc"),
+        "enough",
+    )
+    posting = kept.write(shared.join(enough, "doc", "left_semi"), "postings")
     texts = kept.write(
-        docs.withColumnRenamed("doc_id", "doc")
-        .join(posting.select("doc").distinct(), "doc", "left_semi")
-        .dropDuplicates(["doc"]),
+        named.join(enough, "doc", "left_semi").dropDuplicates(["doc"]),
         "texts",
     )
+    turn.discard()
     # rows of one doc_id with other texts link through it, whatever their sets say
     labels = equal.select("doc", F.col("doc").alias("class")).distinct()
     labels = kept.write(labels, "classes")
@@ -320,7 +372,7 @@ def classes(
         order = F.xxhash64(F.lit(count), "doc") if count else F.col("doc")
         leaders = turn.write(
             now.groupBy("signature").agg(
-                F.min(F.struct(order.alias("order"), "doc", "n", "class")).alias("leader")
+                F.min(F.struct(order.alias("order"), "doc", "n", "class", "least")).alias("leader")
             ),
             "leaders",
         ).select(
@@ -328,12 +380,15 @@ def classes(
             F.col("leader.doc").alias("a"),
             F.col("leader.n").alias("m"),
             F.col("leader.class").alias("other"),
+            F.col("leader.least").alias("leader_least"),
         )
         pairs = (
             now.join(leaders, "signature")
+            .withColumn("asked", F.least("least", "leader_least"))
             .where((F.col("class") != F.col("other")) & _fit(F.col("n"), F.col("m"), percent))
             .groupBy(F.col("doc").alias("b"), "a")
-            .agg(F.count("*").alias("shared"))
+            .agg(F.count("*").alias("shared"), F.max("asked").alias("asked"))
+            .where("shared >= asked")
             .groupBy("b")
             .agg(F.max(F.struct("shared", F.col("a").alias("a"))).alias("best"))
             .select(F.col("best.a").alias("a"), "b")
@@ -352,16 +407,22 @@ def classes(
     apart = held.join(
         held.select("signature", F.col("class").alias("other")), "signature"
     ).where("class < other")
-    mine = now.select("signature", "class", F.col("doc").alias("a"), "n")
+    mine = now.select("signature", "class", F.col("doc").alias("a"), "n", "least")
     theirs = now.select(
-        "signature", F.col("class").alias("other"), F.col("doc").alias("b"), F.col("n").alias("m")
+        "signature",
+        F.col("class").alias("other"),
+        F.col("doc").alias("b"),
+        F.col("n").alias("m"),
+        F.col("least").alias("other_least"),
     )
     pairs = (
         apart.join(mine, ["signature", "class"])
         .join(theirs, ["signature", "other"])
         .where(_fit(F.col("n"), F.col("m"), percent))
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("shared"), F.max(F.least("least", "other_least")).alias("asked"))
+        .where("shared >= asked")
         .select("a", "b")
-        .distinct()
     )
     links = turn.write(verified(pairs, texts, size, percent), "links")
     if not links.isEmpty():
