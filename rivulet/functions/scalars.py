@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rivulet.schemas import STATUS_LIST
-
 # Stricter than Java's parser, which also takes '1.5d', 'NaN' and hex floats.
 _NUMBER = r"^\s*[+-]?(\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?\s*$"
 _DIGITS = r"^\s*[+-]?\d+\s*$"
@@ -24,9 +22,9 @@ def to_long(text: Column) -> Column:
 
 
 def first_status_label(status: Column) -> Column:
-    """Label of the first status; NULL unless the JSON text is a non-empty list.
+    """Label of the first status; NULL unless the JSON text is a list whose first has one.
 
-    The bracket test matters: the parser would wrap a bare object into a list.
+    Read as VARIANT, so that entries of another kind further on do not matter.
     """
-    labels = F.from_json(status, STATUS_LIST)
-    return F.when(status.startswith("["), F.get(labels, F.lit(0))["label"])
+    value = F.try_parse_json(F.when(status.startswith("["), status))
+    return F.try_variant_get(value, "$[0].label", "string")

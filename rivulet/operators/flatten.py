@@ -272,6 +272,12 @@ def no_issue(spark: SparkSession, batch: str) -> DataFrame:
 # --- station documents: what a station offers --------------------------------
 
 
+def _named_list(leaf: Column) -> Column:
+    """The JSON text of a list of named objects, opened; empty for any other text."""
+    opened = F.from_json(F.when(leaf.startswith("["), leaf), schemas.NAMED_LIST)
+    return F.coalesce(opened, F.array().cast(schemas.NAMED_LIST))
+
+
 def station_catalogue(landing: DataFrame) -> DataFrame:
     """One row per station item: what it observes and its measures, still as arrays.
 
@@ -279,19 +285,17 @@ def station_catalogue(landing: DataFrame) -> DataFrame:
     parameter and measure id.
     """
     item = F.col("item")
-    named = F.filter(
-        F.coalesce(item["observedProperty"], F.array()), lambda p: ~text.is_blank(p["@id"])
-    )
+    named = F.filter(_named_list(item["observedProperty"]), lambda p: ~text.is_blank(p["@id"]))
     offered = F.transform(named, lambda p: text.normalize_text(text.last_segment(p["@id"])))
     measures = F.transform(
-        F.coalesce(item["measures"], F.array()),
+        _named_list(item["measures"]),
         lambda m: F.struct(
             text.normalize_text(m["parameter"]).alias("parameter"),
             text.last_segment(m["@id"]).alias("measure_id"),
         ),
     )
     return (
-        _items(only_stations(landing), schemas.STATION_DOC)
+        _items(only_stations(landing), schemas.CATALOGUE_DOC)
         .filter(item.isNotNull())
         .select(
             "landing_id",

@@ -35,22 +35,22 @@ def search_stations(stations: DataFrame, wanted: str, label: str, key: str, limi
 
 
 def latest_n(rows: DataFrame, n: int, keys: list[str], newest: str, tie: list[str]) -> DataFrame:
-    """The newest n rows per key, with their `rank`.
+    """The newest n rows per key, with their `rank`; newest by instant, then by text.
 
-    Up to spark.sql.optimizer.windowGroupLimitThreshold Spark cuts each key to n
-    rows before the shuffle. For a larger n the same is done in two steps, so that
-    one hot key is first cut to n per salt by many tasks.
+    Two steps for every n: first cut to n per key and salt, so that many tasks share a
+    hot key, then to n per key.
     """
     spark = rows.sparkSession
-    order: list[Column] = [F.col(newest).desc(), *[F.col(name).asc() for name in tie]]
-    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    kept = rows
-    if n > threshold:
-        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salt = F.pmod(F.xxhash64(newest, *tie), F.lit(salts))
-        per_salt = Window.partitionBy(*keys, "__salt").orderBy(*order)
-        kept = kept.withColumn("__salt", salt).withColumn("rank", F.row_number().over(per_salt))
-        kept = kept.filter(F.col("rank") <= n).drop("rank", "__salt")
+    order: list[Column] = [
+        text.to_instant(F.col(newest)).desc_nulls_last(),
+        F.col(newest).desc(),
+        *[F.col(name).asc() for name in tie],
+    ]
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(newest, *tie), F.lit(salts))
+    per_salt = Window.partitionBy(*keys, "__salt").orderBy(*order)
+    kept = rows.withColumn("__salt", salt).withColumn("rank", F.row_number().over(per_salt))
+    kept = kept.filter(F.col("rank") <= n).drop("rank", "__salt")
     ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rank") <= n)
 
@@ -141,22 +141,18 @@ def latest_for_measures(
     n: int,
     tie: list[str],
     newest: str = "datetime",
-    bounded: bool = False,
     how: str = "inner",
 ) -> DataFrame:
     """The newest n readings of every resolved measure.
 
-    For any number of measures, readings are cut to n per measure first: what then
-    meets the join holds at most n rows per key, however hot a measure is. A caller
-    whose `resolved` has a fixed bound, such as the hits of a limited search, says
-    so; then only the readings of those measures are sorted at all.
+    Only readings of those measures are ranked; how many there are is left to Spark,
+    which broadcasts the ids where their size allows it and joins by key where not.
     With `how="left"` a measure without readings stays, with NULLs.
     """
     chosen = resolved.select(
         "landing_id", "pos", "station_id", "nth", "parameter", "nth_measure", "measure_id"
     )
-    if bounded:
-        readings = readings.join(F.broadcast(chosen.select("measure_id")), "measure_id", "left_semi")
+    readings = readings.join(chosen.select("measure_id"), "measure_id", "left_semi")
     newest_rows = latest_n(readings, n, ["measure_id"], newest, tie)
     taken = [c for c in newest_rows.columns if c not in chosen.columns or c == "measure_id"]
     return chosen.join(newest_rows.select(*taken), "measure_id", how)

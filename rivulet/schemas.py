@@ -58,20 +58,21 @@ CORRUPT = "_corrupt_record"
 
 _NAMED = _struct(*_text("@id", "parameter"))
 
-STATION_ITEM = _struct(
-    *_text("notation", "label", "riverName", "lat", "long", "easting", "northing", "status"),
-    ("observedProperty", ArrayType(_NAMED)),
-    ("measures", ArrayType(_NAMED)),
+_STATION_TEXTS = _text(
+    "notation", "label", "riverName", "lat", "long", "easting", "northing", "status"
 )
-STATION_DOC = _struct(("items", ArrayType(STATION_ITEM)), *_text(CORRUPT))
+STATION_DOC = _struct(("items", ArrayType(_struct(*_STATION_TEXTS))), *_text(CORRUPT))
+# What a station offers is opened in a second step: of another shape than expected, it
+# must not cost the station its row.
+CATALOGUE_ITEM = _struct(*_STATION_TEXTS, *_text("observedProperty", "measures"))
+CATALOGUE_DOC = _struct(("items", ArrayType(CATALOGUE_ITEM)), *_text(CORRUPT))
+NAMED_LIST = ArrayType(_NAMED)
 
 READING_ITEM = _struct(*_text("dateTime", "value", "quality", "completeness"))
 READING_DOC = _struct(("items", ArrayType(READING_ITEM)), *_text(CORRUPT))
 
 RAW_ITEMS_DOC = _struct(("items", ArrayType(StringType())), *_text(CORRUPT))
 
-STATUS_LIST = ArrayType(_struct(*_text("label")))
-
 # A list of any content: tells a list from a text that merely starts with "[".
 TEXT_LIST = ArrayType(StringType())
 

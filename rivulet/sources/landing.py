@@ -15,8 +15,6 @@ from rivulet.operators.flatten import station_catalogue
 from rivulet.session import scratch_path
 from rivulet.sources.tables import LANDING, Warehouse
 
-# Up to this search limit the found stations' measures are small enough to broadcast.
-FEW_STATIONS = 100
 READING_FIELDS = ["dateTime", "value", "quality", "completeness"]
 
 
@@ -94,7 +92,9 @@ def land_payload(
 
 def payload_files(spark: SparkSession, path: str) -> DataFrame:
     """JSON files as (dataset, payload, source); the file name is the dataset name."""
-    name = F.regexp_replace(F.url_decode(text.last_segment(F.col("source"))), r"[.]json$", "")
+    # url_decode is for forms, where a plus is a blank; in a path it is a plus
+    plain = F.replace(text.last_segment(F.col("source")), F.lit("+"), F.lit("%2B"))
+    name = F.regexp_replace(F.url_decode(plain), r"[.]json$", "")
     return (
         spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
         .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source"))
@@ -190,7 +190,6 @@ def land_run(
         limit,
         ["value", "quality", "completeness"],
         newest="dateTime",
-        bounded=search_limit <= FEW_STATIONS,
         how="left",
     )
     place = ["pos", "nth", "nth_measure"]

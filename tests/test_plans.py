@@ -48,7 +48,7 @@ def test_flattening_does_not_shuffle_and_parses_once(spark, data, query):
 
 
 @pytest.mark.parametrize(
-    "query", [queries.upsert_last_wins, queries.latest_n_readings, queries.insert_if_absent]
+    "query", [queries.upsert_last_wins, queries.insert_if_absent]
 )
 def test_groups_are_cut_before_the_only_shuffle(spark, data, query):
     text = plan(query(spark, data))
@@ -69,6 +69,11 @@ def test_new_facts_need_one_range_shuffle(spark, data):
     assert "hashpartitioning" not in text
 
 
+def test_newest_n_is_cut_by_salt_ahead_of_its_key(spark, data):
+    text = plan(queries.latest_n_readings(spark, data))
+    assert text.count("ENSURE_REQUIREMENTS") == 2 and "__salt" in text
+
+
 def test_station_lookup_is_broadcast_only_when_small(spark, data):
     name = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(name)
