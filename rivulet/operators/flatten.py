@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -165,7 +165,6 @@ BAD_NAME = "dataset name has fewer than three parts"
 BAD_ITEM = "item is not an object"
 NESTED = "field is not a scalar"
 NOT_NUMERIC = "not a number, taken as NULL"
-CLEAN = "listed again"
 FATAL = [UNREADABLE, BAD_NAME, BAD_ITEM, NESTED]
 
 
@@ -263,12 +262,6 @@ def document_issues(landing: DataFrame) -> DataFrame:
     return found.select(*schemas.ISSUE.fieldNames())
 
 
-def no_issue(spark: SparkSession, batch: str) -> DataFrame:
-    """The row that replaces the list of a batch that has become clean."""
-    row = (None, None, None, CLEAN, None, batch)
-    return spark.createDataFrame([row], schemas.ISSUE)
-
-
 # --- station documents: what a station offers --------------------------------
 
 

@@ -40,8 +40,10 @@ def landing_to_bronze(
 
     before = 0 if replace else warehouse.batch("bronze_measure", batch).count()
     readings = flatten.flatten_readings(landed, reading_watch).sortWithinPartitions(*READING_ORDER)
-    write = warehouse.replace_batch if replace else warehouse.append
-    write("bronze_measure", readings)
+    if replace:
+        warehouse.replace_batch("bronze_measure", readings, batch)
+    else:
+        warehouse.append("bronze_measure", readings)
 
     suspects = any(watch.get.get("suspects", 0) for watch in (station_watch, reading_watch))
     _quarantine(warehouse, landed, batch, suspects)
@@ -58,10 +60,7 @@ def _quarantine(warehouse: Warehouse, landed: DataFrame, batch: str, suspects: b
     listed_before = not warehouse.batch("quarantine", batch).isEmpty()
     if not suspects and not listed_before:
         return
-    issues = flatten.document_issues(landed)
-    if listed_before:
-        issues = issues.unionByName(flatten.no_issue(warehouse.spark, batch))
-    warehouse.replace_batch("quarantine", issues)
+    warehouse.replace_batch("quarantine", flatten.document_issues(landed), batch)
 
 
 def bronze_to_silver(warehouse: Warehouse, batch: str | None = None) -> dict[str, object]:

@@ -106,11 +106,25 @@ class Warehouse:
         self.create(name)
         self._writer(name, df).mode("append").parquet(self._path(name))
 
-    def replace_batch(self, name: str, df: DataFrame) -> None:
-        """Writes the batches in `df` in place of their earlier content."""
+    def _files(self, name: str, stamp: str) -> set[str]:
+        found = self.batch(name, stamp).select("_metadata.file_path").distinct()
+        return {row[0] for row in found.collect()}
+
+    def replace_batch(self, name: str, df: DataFrame, stamp: str) -> None:
+        """Writes `df`, rows of one batch or none, in place of the batch's earlier content.
+
+        An overwrite by partition leaves a batch alone that has no rows any more; the
+        files it has not touched are then removed.
+        """
         self.create(name)
+        before = self._files(name, stamp)
         writer = self._writer(name, df).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self._path(name))
+        jvm = self.spark.sparkContext._jvm
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for stale in before and before & self._files(name, stamp):
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(stale))
+            path.getFileSystem(hadoop).delete(path, False)
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Makes `df`, which may come from the current state, the next state."""

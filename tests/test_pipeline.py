@@ -331,3 +331,12 @@ def test_a_batch_landed_anew_without_defects_passes(warehouse):
 def test_empty_landing_stops_the_run(warehouse):
     with pytest.raises(ValidationError, match="station document present"):
         run.refine_newest(warehouse, 1)
+
+
+def test_a_batch_replaced_by_nothing_is_empty(spark, warehouse):
+    put(warehouse, (SEARCH, doc(station()), NEW), (DO_SET, doc(reading()), NEW))
+    assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 1
+    rows = [(SEARCH, doc(station()), NEW), (DO_SET, doc(), NEW)]
+    warehouse.replace(LANDING, landing(spark, *rows))
+    assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 0
+    assert warehouse.read("bronze_measure").count() == 0
