@@ -15,8 +15,9 @@ a sketch of fixed size over all documents; any decision is right, as long as it
 same for all, and this one only has to find what would make large groups.
 
 Classes. Equal sets are one document from the start. Links are needed only between
-classes: a few rounds verify one pair for each document, against the document with which
-it shares most signatures among the leaders of its signature groups, and join classes.
+classes: a few rounds verify each document against one, later against up to TRIES, of the
+documents of other classes with which it shares most signatures among the leaders of its
+signature groups, and join classes.
 Then every pair of documents that share a signature and are still in different classes is
 verified if they share as many as linked documents must: prefixes go on a little beyond
 the first signature, which asks for some more. So no link between different classes is missed, and groups of thousands of near
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.llm import words as W
 from rivulet.llm.scratch import Scratch
@@ -42,7 +43,8 @@ from rivulet.llm.scratch import Scratch
 SIZE = 5
 PERCENT = 80
 SKETCH = 1 << 20  # buckets
-ROUNDS = 3
+ROUNDS = 4
+TRIES = 8  # leaders that a document is verified against in each round after the first
 EXTRA = 5  # percent of a set by which prefixes go on, so that more must be shared
 
 
@@ -389,9 +391,12 @@ def classes(
             .groupBy(F.col("doc").alias("b"), "a")
             .agg(F.count("*").alias("shared"), F.max("asked").alias("asked"))
             .where("shared >= asked")
-            .groupBy("b")
-            .agg(F.max(F.struct("shared", F.col("a").alias("a"))).alias("best"))
-            .select(F.col("best.a").alias("a"), "b")
+            .withColumn(
+                "rank",
+                F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a")),
+            )
+            .where(F.col("rank") <= (TRIES if count else 1))
+            .select("a", "b")
         )
         links = turn.write(verified(pairs, texts, size, percent), "links")
         done = links.isEmpty()
