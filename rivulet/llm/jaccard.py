@@ -19,9 +19,11 @@ classes: a few rounds verify each document against one, later against up to TRIE
 documents of other classes with which it shares most signatures among the leaders of its
 signature groups, and join classes.
 Then every pair of documents that share a signature and are still in different classes is
-verified if they share as many as linked documents must: prefixes go on a little beyond
-the first signature, which asks for some more. So no link between different classes is missed, and groups of thousands of near
-copies cost a few pairs for each copy, not all pairs. Pairs are verified on the texts.
+verified if they share as many as linked documents of their sizes must: prefixes go on a
+little beyond the first signature, and a partner of known size leaves fewer misses than any
+partner may, both of which ask for more. So no link between different classes is missed, and
+groups of thousands of near copies cost a few pairs for each copy, not all pairs. Pairs are
+verified on the texts.
 
 Defined cases: a null or empty text has an empty set and is a class of its own; fewer
 than SIZE words are one shingle. Rows that share a doc_id are one document in links; each
@@ -315,6 +317,19 @@ def _fit(n, m, percent: int):
     return (n * 100 >= m * percent) & (m * 100 >= n * percent)
 
 
+def _asked(n, m, least, other_least, percent: int):
+    """Signatures that sets of n and m shingles share if they link.
+
+    Of its own size alone a set knows only how many shingles any partner leaves it; both
+    sizes say how many this one must, and each more is a shared signature more.
+    """
+    both = F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+    return F.least(
+        least + both - F.floor((n * percent + 99) / 100),
+        other_least + both - F.floor((m * percent + 99) / 100),
+    )
+
+
 def classes(
     docs: DataFrame,
     size: int = SIZE,
@@ -386,7 +401,10 @@ def classes(
         )
         pairs = (
             now.join(leaders, "signature")
-            .withColumn("asked", F.least("least", "leader_least"))
+            .withColumn(
+                "asked",
+                _asked(F.col("n"), F.col("m"), F.col("least"), F.col("leader_least"), percent),
+            )
             .where((F.col("class") != F.col("other")) & _fit(F.col("n"), F.col("m"), percent))
             .groupBy(F.col("doc").alias("b"), "a")
             .agg(F.count("*").alias("shared"), F.max("asked").alias("asked"))
@@ -425,7 +443,12 @@ def classes(
         .join(theirs, ["signature", "other"])
         .where(_fit(F.col("n"), F.col("m"), percent))
         .groupBy("a", "b")
-        .agg(F.count("*").alias("shared"), F.max(F.least("least", "other_least")).alias("asked"))
+        .agg(
+            F.count("*").alias("shared"),
+            F.max(
+                _asked(F.col("n"), F.col("m"), F.col("least"), F.col("other_least"), percent)
+            ).alias("asked"),
+        )
         .where("shared >= asked")
         .select("a", "b")
     )
