@@ -20,7 +20,8 @@ it shares most signatures among the leaders of its signature groups, and join cl
 Then every pair of documents that share a signature and are still in different classes is
 verified if they share as many as linked documents of their sizes must: prefixes go on a
 little beyond the first signature, and a partner of known size leaves fewer misses than any
-partner may, both of which ask for more. So no link between different classes is missed, and
+partner may, both of which ask for more. Each signature knows its place in the prefix, so
+pairs meet only in the part of their prefixes that their sizes need. So no link between different classes is missed, and
 groups of thousands of near copies cost a few pairs for each copy, not all pairs. Pairs are
 verified on the texts.
 
@@ -45,7 +46,7 @@ SIZE = 5
 PERCENT = 80
 SKETCH = 1 << 20  # buckets
 ROUNDS = 3
-EXTRA = 5  # percent of a set by which prefixes go on, so that more must be shared
+EXTRA = 2  # percent of a set by which prefixes go on, so that more must be shared
 
 
 def sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
@@ -154,17 +155,21 @@ def least_shared(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT
     return max(1, min(want, min(moves) - miss))
 
 
-def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Signatures of a sorted set; often says which of its shingles are frequent."""
+def signatures(
+    shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a sorted set, and how many misses ahead of its start the prefix is with
+    each; often says which of its shingles are frequent."""
     n = len(shingles)
     miss = _misses(n, percent)
     if miss < 0:
-        return shingles[:0]
+        return shingles[:0], np.empty(0, np.int32)
     need = miss + 1 + n * EXTRA // 100
     rare = shingles[~often][:need]
+    place = np.arange(1, len(rare) + 1, dtype=np.int32)
     if len(rare) == need:
-        return rare
-    out = [rare]
+        return rare, place
+    out, places = [rare], [place]
     common = shingles[often]
     for grade in _grades(n, percent):
         group = _groups(common, grade)
@@ -176,7 +181,7 @@ def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT)
         enough = int(np.searchsorted(ahead, need)) + 1
         chosen, where = common[:enough], group[:enough]
         order = np.argsort(where, kind="stable")
-        chosen, where = chosen[order], where[order]
+        chosen, where, reached = chosen[order], where[order], ahead[:enough][order]
         with np.errstate(over="ignore"):
             tag = np.uint64(2 * grade + 1) * np.uint64(0x9E3779B97F4A7C15)
             for step in range(1, len(chosen)):  # pairs at a distance inside a group
@@ -185,7 +190,8 @@ def signatures(shingles: np.ndarray, often: np.ndarray, percent: int = PERCENT)
                     break
                 a, b = chosen[:-step][same], chosen[step:][same]
                 out.append(W.mix(a * np.uint64(0xD1342543DE82EF95) + (b ^ tag)))
-    return np.unique(np.concatenate(out))
+                places.append(reached[step:][same].astype(np.int32))
+    return np.concatenate(out), np.concatenate(places)
 
 
 _BASE = "doc_id long, n_shingles long, least int, one long, two long"
@@ -199,11 +205,13 @@ def _index(mask, size: int, percent: int):
         for batch in W.slices(batches):
             found = sets(batch.column("text"), size)
             marks = [signatures(s, often[_bucket(s, len(often))], percent) for s in found]
-            times = np.array([len(m) for m in marks], np.int64)
-            flat = np.concatenate(marks) if marks else np.empty(0, np.uint64)
+            times = np.array([len(m) for m, _ in marks], np.int64)
+            flat = np.concatenate([m for m, _ in marks] or [np.empty(0, np.uint64)])
+            place = np.concatenate([p for _, p in marks] or [np.empty(0, np.int32)])
             docs = batch.column("doc").take(pa.array(np.repeat(np.arange(len(marks)), times)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat.view(np.int64)), docs], names=["signature", "doc"]
+                [pa.array(flat.view(np.int64)), docs, pa.array(place)],
+                names=["signature", "doc", "place"],
             )
 
     return run
@@ -315,13 +323,23 @@ def _fit(n, m, percent: int):
     return (n * 100 >= m * percent) & (m * 100 >= n * percent)
 
 
+def _both(n, m, percent: int):
+    """Shingles that linked sets of n and m share at least."""
+    return F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+
+
+def _reach(n, m, percent: int):
+    """How far the prefix of a set of n goes that serves partners of m shingles."""
+    return n - _both(n, m, percent) + 1 + F.floor(n * EXTRA / 100)
+
+
 def _asked(n, m, least, other_least, percent: int):
     """Signatures that sets of n and m shingles share if they link.
 
     Of its own size alone a set knows only how many shingles any partner leaves it; both
     sizes say how many this one must, and each more is a shared signature more.
     """
-    both = F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+    both = _both(n, m, percent)
     return F.least(
         least + both - F.floor((n * percent + 99) / 100),
         other_least + both - F.floor((m * percent + 99) / 100),
@@ -350,7 +368,7 @@ def classes(
         "equal",
     )
     named = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
-    index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long")
+    index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long, place int")
     keys = turn.write(
         index.groupBy("signature").agg(F.count("*").alias("times")).where("times > 1").select("signature"),
         "signatures",
@@ -418,30 +436,43 @@ def classes(
         turn.discard()
         if done:
             break
-    # everything that shares a signature and is still apart: pairs of classes first, so
-    # that members of one class never meet each other
+    # everything that shares a signature and is still apart: classes first, so that members
+    # of one class never meet each other; the smaller set of a pair (n) needs only the
+    # prefix that serves partners of its size or more
     now = _open(posting, labels, turn)
-    held = turn.write(now.select("signature", "class").distinct(), "held")
-    apart = held.join(
-        held.select("signature", F.col("class").alias("other")), "signature"
-    ).where("class < other")
-    mine = now.select("signature", "class", F.col("doc").alias("a"), "n", "least")
-    theirs = now.select(
+    n, m = F.col("n"), F.col("m")
+    short = now.where(F.col("place") <= _reach(n, n, percent)).withColumnRenamed("doc", "a")
+    long = now.select(
         "signature",
         F.col("class").alias("other"),
         F.col("doc").alias("b"),
         F.col("n").alias("m"),
         F.col("least").alias("other_least"),
+        F.col("place").alias("other_place"),
+    )
+    serves = (
+        _fit(n, m, percent)
+        & (n <= m)
+        & (F.col("place") <= _reach(n, m, percent))
+        & (F.col("other_place") <= _reach(m, n, percent))
+    )
+    mine = short.groupBy("signature", "class", "n").agg(F.min("place").alias("place"))
+    theirs = long.groupBy("signature", "other", "m").agg(F.min("other_place").alias("other_place"))
+    apart = (
+        mine.join(theirs, "signature")
+        .where((F.col("class") != F.col("other")) & serves)
+        .select("signature", "class", "n", "other", "m")
     )
+    extra = F.least(F.floor(n * EXTRA / 100), F.floor(m * EXTRA / 100)) + 1
     pairs = (
-        apart.join(mine, ["signature", "class"])
-        .join(theirs, ["signature", "other"])
-        .where(_fit(F.col("n"), F.col("m"), percent))
+        apart.join(short, ["signature", "class", "n"])
+        .join(long, ["signature", "other", "m"])
+        .where(serves & ((n < m) | (F.col("a") < F.col("b"))))
         .groupBy("a", "b")
         .agg(
             F.count("*").alias("shared"),
             F.max(
-                _asked(F.col("n"), F.col("m"), F.col("least"), F.col("other_least"), percent)
+                F.least(extra, _asked(n, m, F.col("least"), F.col("other_least"), percent))
             ).alias("asked"),
         )
         .where("shared >= asked")
