@@ -36,9 +36,9 @@ def data():
 
 OLD = "2026-02-24T00:00:00+00:00"
 NEW = "2026-02-25T00:00:00+00:00"
-DO = "W7001-do-i-subdaily-mgL"
-DOP = "W7001-do-i-subdaily-pct"
-COND = "W7001-cond-i-subdaily-uS"
+LEVEL = "L31-stage-15min-mAOD"
+AMMONIUM = "L31-nh4-sonde-mgN"
+TURBIDITY = ["L31-turb-bank-FTU", "L31-turb-raft-FTU", "L31-turb-raft-NTU"]
 SEARCH = "station_search"
 
 
@@ -46,29 +46,27 @@ def dataset(parameter: str, measure: str) -> str:
     return f"readings_latest__{parameter}__{measure}"
 
 
-def station(notation="W7001", label="MILL BRIDGE", **fields):
-    return {"notation": notation, "label": label, "riverName": "ASH", **fields}
+def station(notation="L31", label="LOWER LOCK", **fields):
+    return {"notation": notation, "label": label, "riverName": "WENDLE", **fields}
 
 
 def offering(**fields):
-    """A station with two observed properties and three measures."""
-    measures = [(DO, "DISSOLVED OXYGEN"), (DOP, "DISSOLVED OXYGEN"), (COND, "CONDUCTIVITY")]
-    base = "http://example.org/"
-    return station(
-        observedProperty=[
-            {"@id": f"{base}op/dissolved-oxygen"},
-            {"@id": f"{base}op/conductivity/"},
-        ],
-        measures=[{"@id": f"{base}id/measures/{m}", "parameter": p} for m, p in measures],
-        **fields,
-    )
+    """A station that offers a water level, turbidity three times over, and ammonium."""
+    by_parameter = {"Water Level": [LEVEL], "TURBIDITY": TURBIDITY, "Ammonium": [AMMONIUM]}
+    measures = [
+        {"@id": f"https://data.example/m/{name}", "parameter": parameter}
+        for parameter, names in by_parameter.items()
+        for name in reversed(names)
+    ]
+    offered = [{"@id": f"https://data.example/p/{p}"} for p in ("ammonium", "turbidity/", "water_level")]
+    return station(measures=measures, observedProperty=offered, **fields)
 
 
 def doc(*items) -> str:
     return json.dumps({"items": list(items)}, ensure_ascii=False)
 
 
-def reading(when="2026-02-25T00:00:00Z", value=1.23, **fields):
+def reading(when="2026-02-25T09:45:00Z", value=6.5, **fields):
     return {"dateTime": when, "value": value, **fields}
 
 

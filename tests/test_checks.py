@@ -122,7 +122,7 @@ def test_gold_rules(spark):
 
 def test_request_rule(spark):
     catalogue = flatten.station_catalogue(landing(spark, (SEARCH, doc(offering()), NEW)))
-    assert violated(checks.request_checks(lookup.station_errors(catalogue, ["conductivity"]))) == {}
+    assert violated(checks.request_checks(lookup.station_errors(catalogue, ["turbidity"]))) == {}
     assert violated(checks.request_checks(lookup.station_errors(catalogue, ["pH"]))) == {27: 2}
 
 

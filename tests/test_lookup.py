@@ -3,9 +3,9 @@ import random
 import pytest
 
 from rivulet.operators import batches, flatten, lookup
-from tests.conftest import COND, DO, DOP, NEW, OLD, SEARCH, dicts, doc, landing, offering, station
+from tests.conftest import AMMONIUM, LEVEL, NEW, OLD, SEARCH, TURBIDITY, dicts, doc, landing, offering, station
 
-WANTED = ["dissolved oxygen", "conductivity"]
+WANTED = ["ammonium", "turbidity"]
 
 
 def catalogue(spark, *items):
@@ -19,34 +19,34 @@ def resolved(spark, items, wanted):
 
 def test_resolve_gives_all_units_sorted(spark):
     assert resolved(spark, [offering()], WANTED) == [
-        ("W7001", "dissolved oxygen", [DO, DOP]), ("W7001", "conductivity", [COND]),
+        ("L31", "ammonium", [AMMONIUM]), ("L31", "turbidity", TURBIDITY),
     ]
 
 
 def test_resolve_normalises_and_collapses_repeated_requests(spark):
-    assert resolved(spark, [offering()], ["Dissolved_Oxygen", "DISSOLVED-oxygen"]) == [
-        ("W7001", "dissolved oxygen", [DO, DOP])
+    assert resolved(spark, [offering()], ["Water_Level", " WATER-level"]) == [
+        ("L31", "water level", [LEVEL])
     ]
 
 
 def test_resolve_of_a_blank_request_is_empty(spark):
     item = offering()
     item["measures"].append({"@id": "http://e/x", "parameter": ""})
-    assert resolved(spark, [item], [" "]) == [("W7001", "", [])]
+    assert resolved(spark, [item], [" "]) == [("L31", "", [])]
 
 
 def test_missing_parameters_name_what_is_available(spark):
     (row,) = dicts(lookup.missing_parameters(catalogue(spark, offering()), ["pH", *WANTED]))
     assert row["missing"] == ["pH"]
-    assert row["available"] == ["conductivity", "dissolved oxygen"]
+    assert row["available"] == ["ammonium", "turbidity", "water level"]
     assert lookup.missing_parameters(catalogue(spark, offering()), WANTED).count() == 0
 
 
 def test_station_errors(spark):
-    bare = station("B", observedProperty=[{"@id": "http://e/op/conductivity"}])
+    bare = station("B", observedProperty=[{"@id": "http://e/op/ammonium"}])
     half = offering()
     half["notation"], half["measures"] = "C", half["measures"][:1]
-    errors = lookup.station_errors(catalogue(spark, offering(), bare, half), ["conductivity"])
+    errors = lookup.station_errors(catalogue(spark, offering(), bare, half), ["ammonium"])
     assert sorted((r["station_id"], r["reason"]) for r in dicts(errors)) == [
         ("B", "station has no measures"), ("C", "no measure for parameter"),
     ]

@@ -65,8 +65,8 @@ def test_insert_if_absent(spark, by_range):
 
 
 def measure(landing_id, station="W1", when="2026-02-25T00:00:00Z", stamp=NEW, value=1.0, **kw):
-    row = dict(landing_id=landing_id, pos=0, station_id=station, parameter="Dissolved Oxygen",
-               unit="mgL", measure_id=f"{station}-do-mgL", datetime=when, value=value,
+    row = dict(landing_id=landing_id, pos=0, station_id=station, parameter="Water Level",
+               unit="mAOD", measure_id=f"{station}-stage-mAOD", datetime=when, value=value,
                quality=None, completeness=None, ingested_at=stamp)
     row.update(kw)
     return tuple(row[f] for f in schemas.MEASURE.fieldNames())
@@ -87,7 +87,7 @@ def test_silver_conforms_and_takes_the_first_of_equal_keys(spark):
             measure(3, when="2026-02-25T00:00:00+00:00", value=3.0)]
     (row,) = dicts(silver(spark, rows))
     assert row["datetime"] == "2026-02-25T00:00:00+00:00"
-    assert row["parameter"] == "dissolved oxygen"
+    assert row["parameter"] == "water level"
     assert (row["landing_id"], row["value"]) == (1, 1.0)
 
 

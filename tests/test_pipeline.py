@@ -10,12 +10,13 @@ from rivulet.plans import refine, run
 from rivulet.sources import landing as source
 from rivulet.sources.tables import LANDING, Warehouse
 from tests.conftest import (
-    COND, DO, DOP, NEW, OLD, SEARCH, dataset, dicts, doc, landing, offering, reading, station,
+    AMMONIUM, NEW, OLD, SEARCH, TURBIDITY, dataset, dicts, doc, landing, offering, reading, station,
 )
 
-DO_SET, DOP_SET = dataset("dissolved_oxygen", DO), dataset("dissolved_oxygen", DOP)
-COND_SET = dataset("conductivity", COND)
-PARAMS = ["dissolved oxygen", "conductivity"]
+AMMONIUM_SET = dataset("ammonium", AMMONIUM)
+TURBIDITY_SETS = [dataset("turbidity", m) for m in TURBIDITY]
+BANK_SET = TURBIDITY_SETS[0]
+PARAMS = ["ammonium", "turbidity"]
 
 
 def put(warehouse, *rows):
@@ -27,13 +28,18 @@ def put(warehouse, *rows):
 
 
 def two_batches(warehouse):
+    """Two stations each time; four readings of the newer batch, the zero among them."""
     put(
         warehouse,
-        (SEARCH, doc(station(label="OLD NAME")), OLD),
-        (DO_SET, doc(reading("2026-02-24T00:00:00Z", 0.1)), OLD),
-        (SEARCH, doc(station(label="NEW NAME")), NEW),
-        (DO_SET, doc(reading()), NEW),
-        (COND_SET, doc(reading(value=200.0)), NEW),
+        (BANK_SET, doc(reading("2026-02-23T22:15:00Z", 31), reading("2026-02-23T22:30:00Z", 28)), OLD),
+        (SEARCH, doc(station("L40", "FORD"), station(label="WEIR POOL")), OLD),
+    )
+    ammonium = [reading(f"2026-02-25T09:{m}:00Z", v) for m, v in ((30, 0.11), (15, 0.0), (45, 0.08))]
+    put(
+        warehouse,
+        (AMMONIUM_SET, doc(*ammonium), NEW),
+        (SEARCH, doc(station("L40", "OX FORD"), station()), NEW),
+        (BANK_SET, doc(reading()), NEW),
     )
 
 
@@ -44,9 +50,14 @@ def column(warehouse, table, name):
 # --- landing -----------------------------------------------------------------
 
 
-def run_inputs(spark, *items, values=((DO, 1.0), (DOP, 99.0), (COND, 200.0))):
+def run_inputs(spark, *items, measures=(AMMONIUM, *TURBIDITY)):
+    """One document of stations; ten readings of each measure, a quarter of an hour apart."""
     documents = spark.createDataFrame([(doc(*items),)], "payload string")
-    rows = [(m, f"2026-02-{d:02d}T00:00:00Z", v + d, None, None) for m, v in values for d in range(1, 9)]
+    rows = [
+        (m, f"2026-02-25T{7 + q // 4:02d}:{q % 4 * 15:02d}:00Z", 0.4 * k + 0.05 * q, "Good" if q % 3 else None, None)
+        for k, m in enumerate(measures)
+        for q in range(10)
+    ]
     readings = spark.createDataFrame(
         rows, "measure_id string, dateTime string, value double, quality string, completeness string"
     )
@@ -55,37 +66,37 @@ def run_inputs(spark, *items, values=((DO, 1.0), (DOP, 99.0), (COND, 200.0))):
 
 def test_land_run(spark, warehouse):
     summary = source.land_run(
-        warehouse, *run_inputs(spark, offering()), "MILL", PARAMS, limit=3, ingested_at=NEW
+        warehouse, *run_inputs(spark, offering()), "LOCK", PARAMS, limit=3, ingested_at=NEW
     )
-    assert summary == {"raw_rows_inserted": 4, "ingested_at": NEW}
+    assert summary == {"raw_rows_inserted": 5, "ingested_at": NEW}
     rows = dicts(warehouse.read(LANDING), "id")
-    assert [r["dataset"] for r in rows] == [SEARCH, DO_SET, DOP_SET, COND_SET]
-    assert [r["id"] for r in rows] == [1, 2, 3, 4]
-    assert json.loads(rows[0]["payload"])["items"][0]["notation"] == "W7001"
+    assert [r["dataset"] for r in rows] == [SEARCH, AMMONIUM_SET, *TURBIDITY_SETS]
+    assert [r["id"] for r in rows] == [1, 2, 3, 4, 5]
+    assert json.loads(rows[0]["payload"])["items"][0]["notation"] == "L31"
     newest = json.loads(rows[1]["payload"])["items"]
-    assert [i["dateTime"][8:10] for i in newest] == ["08", "07", "06"]
+    assert [i["dateTime"][11:16] for i in newest] == ["09:15", "09:00", "08:45"]
 
 
 def test_land_run_takes_the_first_station_unless_told(spark, warehouse):
     second = offering()
-    second["notation"] = "W8000"
+    second["notation"] = "L80"
     inputs = run_inputs(spark, second, offering())
-    source.land_run(warehouse, *inputs, "MILL", PARAMS, ingested_at=OLD)
-    assert warehouse.read(LANDING).count() == 4
+    source.land_run(warehouse, *inputs, "LOCK", PARAMS, ingested_at=OLD)
+    assert warehouse.read(LANDING).count() == 5
     items = json.loads(dicts(warehouse.read(LANDING), "id")[0]["payload"])["items"]
-    assert [i["notation"] for i in items] == ["W7001", "W8000"]
+    assert [i["notation"] for i in items] == ["L31", "L80"]
 
 
 def test_measure_without_readings_lands_an_empty_document(spark, warehouse):
-    inputs = run_inputs(spark, offering(), values=((DO, 1.0),))
-    source.land_run(warehouse, *inputs, "MILL", ["conductivity"], ingested_at=NEW)
+    inputs = run_inputs(spark, offering(), measures=TURBIDITY)
+    source.land_run(warehouse, *inputs, "LOCK", ["ammonium"], ingested_at=NEW)
     assert json.loads(dicts(warehouse.read(LANDING), "id")[1]["payload"]) == {"items": []}
 
 
 @pytest.mark.parametrize(
     ("wanted", "params", "message"),
     [
-        ("MILL", ["pH"], "missing: pH; available: conductivity, dissolved oxygen"),
+        ("LOCK", ["pH"], "missing: pH; available: ammonium, turbidity, water level"),
         ("WEIR", PARAMS, "no station found"),
     ],
 )
@@ -100,12 +111,12 @@ def test_overwriting_run_drops_older_documents_only(spark, warehouse):
     warehouse.reserve(LANDING, 3)
     put_before = warehouse.read(LANDING).count()
     summary = source.land_run(
-        warehouse, *run_inputs(spark, offering()), "MILL", ["conductivity"], append=False, ingested_at=NEW
+        warehouse, *run_inputs(spark, offering()), "LOCK", ["ammonium"], append=False, ingested_at=NEW
     )
     rows = dicts(warehouse.read(LANDING), "id")
     assert (put_before, summary["raw_rows_inserted"]) == (3, 2)
     assert [(r["id"], r["dataset"], r["ingested_at"]) for r in rows] == [
-        (3, "rain", OLD), (4, SEARCH, NEW), (5, COND_SET, NEW),
+        (3, "rain", OLD), (4, SEARCH, NEW), (5, AMMONIUM_SET, NEW),
     ]
 
 
@@ -143,7 +154,7 @@ def test_bulk_landing_numbers_copies_without_a_shuffle(spark, warehouse):
 def test_land_files(warehouse, tmp_path):
     folder = tmp_path / "files"
     folder.mkdir()
-    for name, text in [(SEARCH, doc(station())), (DO_SET, doc(reading())), ("b c", "{\n}")]:
+    for name, text in [(SEARCH, doc(station())), (BANK_SET, doc(reading())), ("b c", "{\n}")]:
         (folder / f"{name}.json").write_text(text)
     (folder / "notes.txt").write_text("x")
     source.land_files(warehouse, str(folder), OLD)
@@ -151,7 +162,7 @@ def test_land_files(warehouse, tmp_path):
     assert summary["raw_rows_inserted"] == 3
     rows = dicts(warehouse.read(LANDING), "id")
     assert [r["id"] for r in rows] == [1, 2, 3, 4, 5, 6]
-    assert [r["dataset"] for r in rows[3:]] == ["b c", DO_SET, SEARCH]
+    assert [r["dataset"] for r in rows[3:]] == ["b c", BANK_SET, SEARCH]
     assert rows[0]["payload"] == "{\n}"
 
 
@@ -173,34 +184,34 @@ def test_newest_batch_to_bronze(warehouse):
     two_batches(warehouse)
     summary = refine.landing_to_bronze(warehouse)
     assert summary == {
-        "status": "ok", "ingested_at": NEW, "station_upserts": 1, "measure_inserts": 2,
+        "status": "ok", "ingested_at": NEW, "station_upserts": 2, "measure_inserts": 4,
     }
-    assert column(warehouse, "bronze_station", "label") == ["NEW NAME"]
-    assert column(warehouse, "bronze_measure", "ingested_at") == [NEW, NEW]
+    assert column(warehouse, "bronze_station", "label") == ["LOWER LOCK", "OX FORD"]
+    assert column(warehouse, "bronze_measure", "ingested_at") == [NEW] * 4
 
 
 def test_last_station_item_wins_with_its_nulls(warehouse):
     put(
         warehouse,
         (SEARCH, doc(station(label="1", lat=1.0), station("B")), NEW),
-        (SEARCH, doc(station(label="2", lat=2.0), {"notation": "W7001", "label": "3"}), NEW),
+        (SEARCH, doc(station(label="2", lat=2.0), {"notation": "L31", "label": "3"}), NEW),
     )
     assert refine.landing_to_bronze(warehouse)["station_upserts"] == 4
     rows = dicts(warehouse.read("bronze_station"), "station_id")
     assert [(r["station_id"], r["label"], r["lat"], r["river_name"]) for r in rows] == [
-        ("B", "MILL BRIDGE", None, "ASH"), ("W7001", "3", None, None),
+        ("B", "LOWER LOCK", None, "WENDLE"), ("L31", "3", None, None),
     ]
 
 
 def test_repeating_bronze(warehouse):
     two_batches(warehouse)
     refine.landing_to_bronze(warehouse)
-    assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 2
-    assert warehouse.read("bronze_measure").count() == 2
-    assert refine.landing_to_bronze(warehouse, replace=False)["measure_inserts"] == 2
+    assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 4
     assert warehouse.read("bronze_measure").count() == 4
+    assert refine.landing_to_bronze(warehouse, replace=False)["measure_inserts"] == 4
+    assert warehouse.read("bronze_measure").count() == 8
     failed = run.bronze_report(warehouse).filter("not ok").collect()
-    assert [(r.seq, r.violations) for r in failed] == [(11, 2)]
+    assert [(r.seq, r.violations) for r in failed] == [(11, 4)]
 
 
 def through(warehouse):
@@ -214,14 +225,15 @@ def through(warehouse):
 def test_newest_batch_through_all_layers(warehouse):
     two_batches(warehouse)
     _, silver, gold = through(warehouse)
-    assert (silver["silver_station_upserts"], silver["silver_measure_inserts"]) == (1, 2)
-    assert (gold["dim_station_upserts"], gold["fact_measurement_inserts"]) == (1, 2)
-    assert column(warehouse, "dim_station", "label") == ["NEW NAME"]
+    assert (silver["silver_station_upserts"], silver["silver_measure_inserts"]) == (2, 4)
+    assert (gold["dim_station_upserts"], gold["fact_measurement_inserts"]) == (2, 4)
+    assert column(warehouse, "dim_station", "label") == ["LOWER LOCK", "OX FORD"]
     facts = dicts(warehouse.read("fact_measurement"), "measurement_key")
     assert [(f["measurement_key"], f["station_key"], f["measure_id"]) for f in facts] == [
-        (1, 1, COND), (2, 1, DO),
+        (1, 1, AMMONIUM), (2, 1, AMMONIUM), (3, 1, AMMONIUM), (4, 1, TURBIDITY[0]),
     ]
-    assert {f["datetime"] for f in facts} == {"2026-02-25T00:00:00+00:00"}
+    assert [f["datetime"][11:] for f in facts] == [f"09:{m}:00+00:00" for m in (15, 30, 45, 45)]
+    assert [f["value"] for f in facts] == [0.0, 0.11, 0.08, 6.5]
 
 
 def test_repeating_a_batch_changes_nothing(warehouse):
@@ -242,21 +254,21 @@ def test_later_batches_keep_keys_and_history(warehouse):
     put(
         warehouse,
         (SEARCH, doc(station("A0001", "FIRST BY NAME"), station(label="NEWER")), later),
-        (DO_SET, doc(reading()), later),
+        (BANK_SET, doc(reading()), later),
     )
     through(warehouse)
     last = "2026-02-27T00:00:00+00:00"
-    put(warehouse, (SEARCH, doc(station("B0001")), last), (DO_SET, doc(reading()), last))
+    put(warehouse, (SEARCH, doc(station("B0001")), last), (BANK_SET, doc(reading()), last))
     through(warehouse)
     stations = dicts(warehouse.read("dim_station"), "station_key")
     assert [(s["station_key"], s["station_id"], s["label"], s["ingested_at"]) for s in stations] == [
-        (1, "W7001", "NEWER", later), (2, "A0001", "FIRST BY NAME", later),
-        (3, "B0001", "MILL BRIDGE", last),
+        (1, "L31", "NEWER", later), (2, "L40", "OX FORD", NEW),
+        (3, "A0001", "FIRST BY NAME", later), (4, "B0001", "LOWER LOCK", last),
     ]
     facts = dicts(warehouse.read("fact_measurement"), "measurement_key")
     # The last batch lists another station only; its reading still finds the known one.
     assert [(f["measurement_key"], f["station_key"], f["ingested_at"]) for f in facts] == [
-        (1, 1, NEW), (2, 1, NEW), (3, 1, later), (4, 1, last),
+        *((k, 1, NEW) for k in range(1, 5)), (5, 1, later), (6, 1, last),
     ]
 
 
@@ -269,9 +281,9 @@ def test_a_failed_job_leaves_the_state_before(warehouse):
     with pytest.raises(Exception, match="lost"):
         warehouse.replace("dim_station", failing.withColumn("station_key", failing.station_key.cast("bigint")))
     fresh = Warehouse(warehouse.spark, warehouse.root)
-    assert column(fresh, "dim_station", "label") == ["NEW NAME"]
+    assert column(fresh, "dim_station", "label") == ["LOWER LOCK", "OX FORD"]
     refine.silver_to_gold(fresh)
-    assert column(fresh, "dim_station", "station_key") == [1]
+    assert column(fresh, "dim_station", "station_key") == [1, 2]
 
 
 # --- gates -------------------------------------------------------------------
@@ -280,23 +292,23 @@ def test_a_failed_job_leaves_the_state_before(warehouse):
 def test_whole_run(spark, warehouse):
     documents, readings = run_inputs(spark, offering())
     summary = run.run_pipeline(
-        warehouse, documents, readings, "MILL", PARAMS, limit=2, ingested_at=NEW
+        warehouse, documents, readings, "LOCK", PARAMS, limit=2, ingested_at=NEW
     )
-    assert summary["raw_rows_inserted"] == 4
-    assert summary["fact_measurement_inserts"] == 6
+    assert summary["raw_rows_inserted"] == 5
+    assert summary["fact_measurement_inserts"] == 8
     assert run.full_report(warehouse, len(PARAMS)).filter("not ok").count() == 0
     again = run.run_pipeline(
-        warehouse, documents, readings, "MILL", PARAMS, limit=2,
+        warehouse, documents, readings, "LOCK", PARAMS, limit=2,
         ingested_at="2026-02-26T00:00:00+00:00",
     )
-    assert again["fact_measurement_inserts"] == 6
-    assert warehouse.read(LANDING).count() == 4
-    assert warehouse.read("fact_measurement").count() == 12
+    assert again["fact_measurement_inserts"] == 8
+    assert warehouse.read(LANDING).count() == 5
+    assert warehouse.read("fact_measurement").count() == 16
 
 
 def test_duplicates_stop_the_run_at_bronze(warehouse):
     two_batches(warehouse)
-    put(warehouse, (DO_SET, doc(reading(value=9.9)), NEW))
+    put(warehouse, (BANK_SET, doc(reading(value=9.9)), NEW))
     with pytest.raises(ValidationError, match="bronze validation failed: reading keys"):
         run.refine_newest(warehouse, 2)
     assert not warehouse.exists("silver_measure")
@@ -304,15 +316,15 @@ def test_duplicates_stop_the_run_at_bronze(warehouse):
 
 def test_both_spellings_of_utc_pass_bronze_and_merge_in_silver(warehouse):
     two_batches(warehouse)
-    put(warehouse, (DO_SET, doc(reading("2026-02-25T00:00:00+00:00", 9.9)), NEW))
+    put(warehouse, (BANK_SET, doc(reading("2026-02-25T09:45:00+00:00", 9.9)), NEW))
     summary = run.refine_newest(warehouse, 2)
-    assert (summary["measure_inserts"], summary["silver_measure_inserts"]) == (3, 2)
-    assert column(warehouse, "fact_measurement", "value") == [1.23, 200.0]
+    assert (summary["measure_inserts"], summary["silver_measure_inserts"]) == (5, 4)
+    assert column(warehouse, "fact_measurement", "value") == [0.0, 0.08, 0.11, 6.5]
 
 
 def test_unreadable_document_stops_the_run_and_is_listed(warehouse):
     two_batches(warehouse)
-    put(warehouse, (COND_SET, '{"items":[', NEW))
+    put(warehouse, (AMMONIUM_SET, '{"items":[', NEW))
     with pytest.raises(ValidationError, match="parse validation failed"):
         run.refine_newest(warehouse, 2)
     (issue,) = dicts(warehouse.read("quarantine"))
@@ -320,11 +332,11 @@ def test_unreadable_document_stops_the_run_and_is_listed(warehouse):
 
 
 def test_a_batch_landed_anew_without_defects_passes(warehouse):
-    put(warehouse, (SEARCH, doc(station()), NEW), (DO_SET, "{", NEW))
+    put(warehouse, (SEARCH, doc(station()), NEW), (BANK_SET, "{", NEW))
     with pytest.raises(ValidationError):
         run.refine_newest(warehouse, 1)
-    source.drop_datasets(warehouse, [DO_SET])
-    put(warehouse, (DO_SET, doc(reading()), NEW))
+    source.drop_datasets(warehouse, [BANK_SET])
+    put(warehouse, (BANK_SET, doc(reading()), NEW))
     assert run.refine_newest(warehouse, 1)["fact_measurement_inserts"] == 1
 
 
@@ -334,9 +346,9 @@ def test_empty_landing_stops_the_run(warehouse):
 
 
 def test_a_batch_replaced_by_nothing_is_empty(spark, warehouse):
-    put(warehouse, (SEARCH, doc(station()), NEW), (DO_SET, doc(reading()), NEW))
+    put(warehouse, (SEARCH, doc(station()), NEW), (BANK_SET, doc(reading()), NEW))
     assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 1
-    rows = [(SEARCH, doc(station()), NEW), (DO_SET, doc(), NEW)]
+    rows = [(SEARCH, doc(station()), NEW), (BANK_SET, doc(), NEW)]
     warehouse.replace(LANDING, landing(spark, *rows))
     assert refine.landing_to_bronze(warehouse)["measure_inserts"] == 0
     assert warehouse.read("bronze_measure").count() == 0
