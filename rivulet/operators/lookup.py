@@ -108,31 +108,59 @@ def resolved_rows(resolved: DataFrame) -> DataFrame:
     )
 
 
-def station_errors(catalogue: DataFrame, parameters: list[str]) -> DataFrame:
-    """Why a request cannot be served, as rows (station_id, reason, detail)."""
-    lacking = missing_parameters(catalogue, parameters).select(
-        "station_id",
-        F.lit("parameter not offered").alias("reason"),
-        F.concat(
-            F.lit("missing: "),
-            F.array_join("missing", ", "),
-            F.lit("; available: "),
-            F.array_join("available", ", "),
-        ).alias("detail"),
-    )
-    bare = catalogue.filter(F.size("measures") == 0).select(
-        "station_id", F.lit("station has no measures").alias("reason"), F.lit("").alias("detail")
+def request_errors(catalogue: DataFrame, parameters: list[str]) -> DataFrame:
+    """Why a request cannot be served, in the order of stations and then of the checks.
+
+    One pass: a station's errors are found within its own row. `nth` tells their order.
+    """
+    wanted = F.array_distinct(F.transform(_requested(parameters), text.normalize_text))
+    lacking = F.filter(
+        _requested(parameters),
+        lambda p: ~F.array_contains(F.col("offered"), text.normalize_text(p)),
     )
-    unmeasured = (
-        resolve_measures(catalogue.filter(F.size("measures") > 0), parameters)
-        .filter(F.size("measure_ids") == 0)
-        .select(
-            "station_id",
-            F.lit("no measure for parameter").alias("reason"),
-            F.col("parameter").alias("detail"),
+
+    def error(reason: str, detail: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), detail.alias("detail"))
+
+    def measured(parameter: Column, condition=lambda measure: F.lit(True)) -> Column:
+        return F.exists(
+            "measures",
+            lambda m: F.coalesce(m["parameter"] == parameter, F.lit(False))
+            & (parameter != "")
+            & condition(m),
         )
+
+    not_offered = F.concat(
+        F.lit("missing: "),
+        F.array_join(lacking, ", "),
+        F.lit("; available: "),
+        F.array_join(F.array_sort(F.array_distinct("offered")), ", "),
     )
-    return lacking.unionByName(bare).unionByName(unmeasured)
+    found = [
+        F.when(F.size(lacking) > 0, F.array(error("parameter not offered", not_offered))),
+        F.when(F.size("measures") == 0, F.array(error("station has no measures", F.lit("")))),
+        F.when(
+            F.size("measures") > 0,
+            F.transform(
+                F.filter(wanted, lambda p: ~measured(p)),
+                lambda p: error("no measure for parameter", p),
+            ),
+        ),
+        F.transform(
+            F.filter(wanted, lambda p: measured(p, lambda m: text.is_blank(m["measure_id"]))),
+            lambda p: error("measure without an id", p),
+        ),
+    ]
+    none = F.array().cast("array<struct<reason:string,detail:string>>")
+    errors = F.flatten(F.array(*[F.coalesce(f, none) for f in found]))
+    return catalogue.select(
+        "landing_id", "pos", "station_id", F.posexplode(errors).alias("nth", "error")
+    ).select("landing_id", "pos", "nth", "station_id", "error.reason", "error.detail")
+
+
+def station_errors(catalogue: DataFrame, parameters: list[str]) -> DataFrame:
+    """Why a request cannot be served, as rows (station_id, reason, detail)."""
+    return request_errors(catalogue, parameters).select("station_id", "reason", "detail")
 
 
 def latest_for_measures(

@@ -18,9 +18,21 @@ from rivulet.sources.tables import LANDING, Warehouse
 READING_FIELDS = ["dateTime", "value", "quality", "completeness"]
 
 
-def batch_stamp() -> str:
-    """The stamp of a run: UTC now. Taken once per run, on the driver."""
-    return datetime.now(timezone.utc).isoformat()
+def batch_stamp(given: str | None = None) -> str:
+    """The stamp of a run in UTC: the given one, else now. Taken once, on the driver.
+
+    Batches are ordered by their stamps as text, so all have one spelling. A given time
+    without an offset is UTC; a text that is no ISO time raises ValidationError.
+    """
+    if not given:
+        return datetime.now(timezone.utc).isoformat()
+    try:
+        moment = datetime.fromisoformat(given)
+    except ValueError:
+        raise ValidationError(f"batch stamp '{given}' is no ISO time") from None
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return moment.astimezone(timezone.utc).isoformat()
 
 
 def readings_payloads(ranked: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,7 +82,7 @@ def land_payloads(
     written at once and at the end. Without `append` it replaces all station and
     readings payloads landed before.
     """
-    stamp = ingested_at or batch_stamp()
+    stamp = batch_stamp(ingested_at)
     columns = list(dict.fromkeys(["dataset", "payload", *(order or [])]))
     staged = keys.stage_in_order(payloads.select(*columns), order, "id")
     count = staged.count()
@@ -111,7 +123,7 @@ def land_files(
     files); the payloads get their id by a join on the path.
     """
     spark = warehouse.spark
-    stamp = ingested_at or batch_stamp()
+    stamp = batch_stamp(ingested_at)
     names = (
         spark.read.format("binaryFile")
         .options(pathGlobFilter="*.json", recursiveFileLookup="true")
@@ -179,7 +191,8 @@ def land_run(
         catalogue = catalogue.filter(F.col("pos") == 0)
     if catalogue.isEmpty():
         raise ValidationError(f"no station found for '{wanted}'")
-    error = lookup.station_errors(catalogue, parameters).first()
+    errors = lookup.request_errors(catalogue, parameters)
+    error = errors.orderBy("landing_id", "pos", "nth").first()
     if error:
         raise ValidationError(f"station {error.station_id}: {error.reason} ({error.detail})")
 

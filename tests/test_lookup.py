@@ -52,6 +52,22 @@ def test_station_errors(spark):
     ]
 
 
+def test_errors_come_in_the_order_of_stations_and_checks(spark):
+    nameless = offering()
+    nameless["measures"][1] = {"parameter": "turbidity"}
+    bare = station("B")
+    errors = lookup.request_errors(catalogue(spark, nameless, bare, offering()), ["turbidity", "x"])
+    assert [(r["station_id"], r["reason"], r["detail"]) for r in dicts(errors, "pos", "nth")] == [
+        ("L31", "parameter not offered", "missing: x; available: ammonium, turbidity, water level"),
+        ("L31", "no measure for parameter", "x"),
+        ("L31", "measure without an id", "turbidity"),
+        ("B", "parameter not offered", "missing: turbidity, x; available: "),
+        ("B", "station has no measures", ""),
+        ("L31", "parameter not offered", "missing: x; available: ammonium, turbidity, water level"),
+        ("L31", "no measure for parameter", "x"),
+    ]
+
+
 def test_search_takes_the_first_by_key(spark):
     rows = [(f"S{i}", f"MILL {i}") for i in range(9)] + [("A", "WEIR")]
     df = spark.createDataFrame(rows, "station_id string, label string")

@@ -139,6 +139,15 @@ def test_payload_round_trip_and_default_stamp(warehouse):
     assert row["ingested_at"].endswith("+00:00")
 
 
+def test_given_stamps_have_one_spelling():
+    given = ["2026-02-25T00:30:00+01:00", "2026-02-25T00:00:00Z", "2026-02-25T00:00:00.500Z", "2026-02-25T00:00:01"]
+    made = [source.batch_stamp(g) for g in given]
+    assert made == sorted(made)
+    assert (made[0], made[1]) == ("2026-02-24T23:30:00+00:00", "2026-02-25T00:00:00+00:00")
+    with pytest.raises(ValidationError, match="no ISO time"):
+        source.batch_stamp("yesterday")
+
+
 def test_bulk_landing_numbers_copies_without_a_shuffle(spark, warehouse):
     """A third of the payloads are copies of one; each gets its own id."""
     rows = spark.range(0, 3000, 1, 5).selectExpr(
