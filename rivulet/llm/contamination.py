@@ -114,7 +114,7 @@ def search(hashes: np.ndarray, stop: np.ndarray, tests: Suffixes) -> tuple[np.nd
         some = high > low
         alive, low, high, single = alive[some], low[some], high[some], single[some]
         if not len(alive):
-            return _joined(found_at, found_test)
+            break
         done = tests.depth[alive] - depth <= 2
         for suffix, a, b in zip(alive[done], low[done], high[done], strict=True):
             found_at.append(order[a:b].astype(np.int64))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -148,6 +149,26 @@ def test_contamination_longest_match(spark, docs):
     assert (match.item_id, match.item_word, match.doc_word, match.length) == (1, 0, 0, 14)
 
 
+def test_contamination_short_items_beside_a_long_one(spark):
+    """Of the long item only the first words occur; short items are checked all the same."""
+    tops, alike = {}, None
+    for word in (f"w{i}" for i in range(5000)):  # two words with the same 16 bits
+        top = int(words.split(pa.array([word]), words.alphanumeric()).hashes(words.alphanumeric())[0] >> 48)
+        if top in tops:
+            alike = tops[top], word
+            break
+        tops[top] = word
+    items = [(1, "p q"), (2, "u v w a b c d e f g"), (3, alike[0]), (4, "s t")]
+    texts = ["x p", "q u v z", f"y {alike[1]} y", "u v s t", "p q", f"{alike[0]}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = by_id(contamination.find_matches(rows, benchmark))
+    assert {i: (r.n_hit, r["items"]) for i, r in found.items()} == {
+        0: (0, []), 1: (0, []), 2: (0, []), 3: (2, [4]), 4: (2, [1]), 5: (1, [3])
+    }
+    assert set(by_id(contamination.decontaminate(rows, benchmark))) == {0, 1, 2}
+
+
 # --- 2 -----------------------------------------------------------------------
 
 
