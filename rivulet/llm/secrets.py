@@ -6,6 +6,7 @@ language is made of, so prose needs few tokens for many characters and a random
 needs many. A run whose characters per token stay below a threshold becomes a span of
 kind `random`, unless it is a known digest (hex of a usual length), an identifier
 (UUID, a number, a dotted or dashed date), or already covered by a span of a known form.
+If spans of known forms cover a part of a run only, each stretch left is judged as a run.
 
 Tokens are those of a tiktoken vocabulary; its path is a parameter. Runs are tokenized
 once per task while they repeat. Nothing is shuffled: one pass over the documents.
@@ -107,14 +108,23 @@ class Scanner:
         base = self.base(text)
         more = []
         for m in RUN.finditer(text):
-            start, end = m.span()
-            if any(a < end and start < b for _, a, b in base):
-                continue
-            if self.random(m.group()):
-                more.append(("random", start, end))
+            for start, end in _left(m.start(), m.end(), base):
+                if self.random(text[start:end]):
+                    more.append(("random", start, end))
         return base, _ordered(base + more) if more else base
 
 
+def _left(start: int, end: int, spans: list) -> Iterator[tuple[int, int]]:
+    """The stretches from start to end that none of the spans, ordered by start, covers."""
+    for _, a, b in spans:
+        if a < end and start < b:
+            if start < a:
+                yield start, a
+            start = b
+    if start < end:
+        yield start, end
+
+
 def _ordered(spans: list) -> list:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

@@ -194,6 +194,28 @@ def test_secrets(spark):
     assert masked[5].text.startswith("[SECRET] and the")
 
 
+def test_secrets_beside_known_forms(spark):
+    access, hexes = "AKIA" + "Z7" * 8, "0123456789abcdef" * 2
+    key = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzq9TkLm3Vd"
+    texts = [
+        f"{access}/{key}",
+        f"{hexes}_{key} and {key}-{hexes}",
+        f"{key}/{access}/{key[::-1]}==",
+        f"{access}/documentation/introduction",
+        f"sha-{hexes}==",
+        f"my_api_key={key}",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = {i: r.text for i, r in by_id(secrets.redact(rows)).items()}
+    one = "[SECRET]"
+    assert masked == {
+        0: one * 2, 1: f"{one * 2} and {one * 2}", 2: one * 3, 3: f"{one}/documentation/introduction",
+        4: f"sha-{one}==", 5: f"my_{one}",
+    }
+    spans = {i: [(s.kind, s.start, s.end) for s in r.spans] for i, r in by_id(secrets.scan(rows)).items()}
+    assert spans[0] == [("access", 0, 20), ("random", 20, 61)]
+
+
 # --- 3, 4, 6 -----------------------------------------------------------------
 
 
