@@ -42,7 +42,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the longest run; shorter ones are dropped anyway
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-#: A run that may be random: long, of token characters, holding letters and more.
+#: A run that may be random: long, of token characters.
 RUN = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_SIZES = frozenset({32, 40, 56, 64, 96, 128})
@@ -81,7 +81,7 @@ class Scanner:
 
     def _judge(self, run: str) -> bool:
         core = run.strip("=_-+/")
-        if len(core) < 16 or not any(c.isdigit() for c in core) or core.isdigit():
+        if len(core) < 16 or core.isdigit():
             return False
         if DIGEST.fullmatch(core) and len(core) in DIGEST_SIZES:
             return False

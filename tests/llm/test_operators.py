@@ -216,6 +216,25 @@ def test_secrets_beside_known_forms(spark):
     assert spans[0] == [("access", 0, 20), ("random", 20, 61)]
 
 
+def test_secrets_of_letters_only():
+    scanner = secrets.Scanner(tokens.path("byte_bpe_50k.tiktoken"))
+    kinds = lambda text: [kind for kind, _, _ in scanner.spans(text)[1]]
+    for key in ("qZxWvKpLmRtYbNcDfGhJ", "KRSXGZBAMFZGKZLDOJSXQYLT", "vQpX/kLm+ZrTyWbNcGhJdSfE", "xkqzjvwpfhgtrbmcnd"):
+        assert kinds(f"the key {key} is") == ["random"], key
+    rng = random.Random(3)
+    for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        found = [kinds("".join(rng.choices(letters, k=24))) for _ in range(500)]
+        assert sum(kind == ["random"] for kind in found) >= 490
+    ordinary = """
+        internationalization antidisestablishmentarianism electroencephalograph RESPONSIBILITIES
+        pneumonoultramicroscopicsilicovolcanoconiosis Geschwindigkeitsbegrenzung MISUNDERSTANDINGS
+        Donaudampfschifffahrtsgesellschaft onafhankelijkheidsverklaring state-of-the-art-technology
+        getElementsByClassName src/main/java/com/example/Application MAX_CONNECTION_TIMEOUT_SECONDS
+        thethethethethethe ---------------- aaaaaaaaaaaaaaaaaaaa
+    """
+    assert kinds(ordinary) == []
+
+
 # --- 3, 4, 6 -----------------------------------------------------------------
 
 
