@@ -15,6 +15,12 @@ def latest_batch(landing: DataFrame, column: str = BATCH) -> str | None:
     return landing.agg(F.max(column)).first()[0] or None
 
 
+def all_batches(landing: DataFrame, column: str = BATCH) -> list[str]:
+    """All batch stamps, the oldest first, compared as text."""
+    found = landing.select(column).distinct().collect()
+    return sorted(row[0] for row in found if row[0])
+
+
 def only_latest(df: DataFrame, landing: DataFrame, column: str = BATCH) -> DataFrame:
     """Rows of `df` in the newest batch of `landing`.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -80,6 +81,29 @@ def refine_newest(
 
     passing(landing_report(warehouse, requested))
     batch = batches.latest_batch(warehouse.read(LANDING))
+    return _refine(warehouse, batch, passing, sample)
+
+
+def refine_all(
+    warehouse: Warehouse, requested: int, gate: bool = True, sample: int | None = None
+) -> list[dict[str, object]]:
+    """Takes every landed batch to gold, the oldest first; one summary for each."""
+
+    def passing(report: DataFrame) -> None:
+        if gate:
+            checks.assert_valid(report)
+
+    passing(landing_report(warehouse, requested))
+    stamps = batches.all_batches(warehouse.read(LANDING))
+    return [_refine(warehouse, batch, passing, sample) for batch in stamps]
+
+
+def _refine(
+    warehouse: Warehouse,
+    batch: str | None,
+    passing: Callable[[DataFrame], None],
+    sample: int | None,
+) -> dict[str, object]:
     summary = refine.landing_to_bronze(warehouse, batch=batch)
     passing(parse_report(warehouse, batch))
     passing(bronze_report(warehouse, batch, sample))

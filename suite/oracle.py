@@ -501,3 +501,31 @@ SQL: dict[str, str] = {
         FROM run_silver JOIN dimension USING (station_id)""",
     ),
 }
+
+# Queries over all batches, and over all customers.
+SQL |= {
+    "fk_check_all": """
+        SELECT o_orderstatus, count(*) AS violations FROM orders
+        WHERE CASE WHEN o_orderkey % 50 = 7 THEN -o_custkey ELSE o_custkey END
+          NOT IN (SELECT c_custkey FROM customer)
+        GROUP BY 1""",
+    "check_report_all": SQL["check_report"].replace(
+        "SELECT 1 FROM run_bronze GROUP BY measure_id, precise",
+        "SELECT 1 FROM items GROUP BY measure_id, precise, ingested_at",
+    ),
+    "run_gated": _with(
+        _MV,
+        """SELECT ingested_at, count(*) AS measure_inserts,
+          count(*) FILTER (known) AS silver_measure_inserts,
+          count(*) FILTER (known) AS fact_measurement_inserts
+        FROM (SELECT *, station_id IN (SELECT 'S' || s_suppkey FROM supplier) AS known FROM mv)
+        GROUP BY 1""",
+    ),
+    "bronze_append": _with(
+        _ITEMS,
+        """SELECT event_id AS landing_id, CAST(pos AS BIGINT) AS pos, station_id, parameter, unit,
+          measure_id, datetime, value, quality, completeness, ingested_at
+        FROM items CROSS JOIN (SELECT unnest([1, 2]))
+        WHERE ingested_at = (SELECT max(ingested_at) FROM mv)""",
+    ),
+}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rivulet import schemas
 from rivulet.functions import scalars, text
 from rivulet.operators import batches, checks, conform, flatten, keys, lookup, merge
-from rivulet.plans import run
+from rivulet.plans import refine, run
 from rivulet.session import scratch_path
 from rivulet.sources import landing as landing_source
 from rivulet.sources.tables import LANDING, Warehouse
@@ -329,6 +329,17 @@ def fk_check(spark: SparkSession, sf: str) -> DataFrame:
     return lost.groupBy("o_orderstatus").agg(F.count("*").alias("violations"))
 
 
+def fk_check_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against all customers; some orders, by their key, have one that is not there."""
+    dimension = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    planted = F.when(F.col("o_orderkey") % 50 == 7, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", planted.alias("o_custkey"), "o_orderstatus"
+    )
+    lost = lookup.orphans(orders, dimension, "o_custkey")
+    return lost.groupBy("o_orderstatus").agg(F.count("*").alias("violations"))
+
+
 def _spotty(spark: SparkSession, sf: str) -> DataFrame:
     """Readings with NULLs and blanks in required fields."""
     event_id = F.col("event_id")
@@ -417,6 +428,44 @@ def pipeline_facts(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.read("fact_measurement")
 
 
+def _all_landed(spark: SparkSession, sf: str, again: bool) -> Warehouse:
+    """All batches landed in a fresh warehouse, the stations with the first one."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    readings = views.readings_landing(views.readings(spark, sf, precise=True), again)
+    first = readings.agg(F.min("ingested_at")).first()[0]
+    stations = views.station_landing(spark, sf, again).withColumn("ingested_at", F.lit(first))
+    ids = F.col("id") + stations.count()
+    landed = stations.unionByName(readings.withColumn("id", ids))
+    warehouse.append(LANDING, landed.hint("rebalance", "ingested_at"))
+    return warehouse
+
+
+def check_report_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules after every batch has gone through all layers."""
+    warehouse = _all_landed(spark, sf, again=True)
+    run.refine_all(warehouse, len(REQUESTED), gate=False)
+    return run.full_report(warehouse, len(REQUESTED))
+
+
+def run_gated(spark: SparkSession, sf: str) -> DataFrame:
+    """Every batch, without defects, through all layers and their gates; a row for each."""
+    warehouse = _all_landed(spark, sf, again=False)
+    summaries = run.refine_all(warehouse, len(REQUESTED))
+    names = ["ingested_at", "measure_inserts", "silver_measure_inserts", "fact_measurement_inserts"]
+    kinds = "ingested_at string, " + ", ".join(f"{name} bigint" for name in names[1:])
+    return spark.createDataFrame([tuple(s[name] for name in names) for s in summaries], kinds)
+
+
+def bronze_append(spark: SparkSession, sf: str) -> DataFrame:
+    """The bronze readings after the newest batch has been opened twice without replacing."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    readings = views.readings_landing(views.readings(spark, sf))
+    warehouse.append(LANDING, readings.hint("rebalance", "ingested_at"))
+    for _ in range(2):
+        refine.landing_to_bronze(warehouse, replace=False)
+    return warehouse.read("bronze_measure")
+
+
 def land_run(spark: SparkSession, sf: str) -> DataFrame:
     """Search, check the request, land the newest readings per measure; what is in the landing then."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
@@ -475,6 +524,7 @@ ALL = [
     gold_fact_rerun,
     orphan_measures,
     fk_check,
+    fk_check_all,
     required_fields,
     duplicate_groups,
     row_count_gates,
@@ -484,4 +534,7 @@ ALL = [
     pipeline_summary,
     check_report,
     pipeline_facts,
+    check_report_all,
+    run_gated,
+    bronze_append,
 ]

@@ -42,11 +42,12 @@ def readings(spark: SparkSession, sf_dir: str, precise: bool = False) -> DataFra
     )
 
 
-def readings_landing(mv: DataFrame) -> DataFrame:
+def readings_landing(mv: DataFrame, again: bool = True) -> DataFrame:
     """One payload per reading, with up to three items.
 
     The reading itself; for each fourth event an item without dateTime; for each
-    fifth the same reading again, with the other spelling of UTC and no value.
+    fifth, unless `again` is off, the same reading again, with the other spelling of UTC
+    and no value.
     """
 
     def item(when: str, value: str, quality: str, completeness: str) -> str:
@@ -61,11 +62,12 @@ def readings_landing(mv: DataFrame) -> DataFrame:
         "if(event_id % 3 = 0, 'Complete', NULL)",
     )
     undated = item(nothing, "value", "'Bad'", nothing)
-    again = item("replace(datetime, 'Z', '+00:00')", "CAST(NULL AS DOUBLE)", "'Suspect'", nothing)
+    repeated = item("replace(datetime, 'Z', '+00:00')", "CAST(NULL AS DOUBLE)", "'Suspect'", nothing)
+    more = str(again).lower()
     items = f"""CASE
-        WHEN event_id % 20 = 0 THEN array({reading}, {undated}, {again})
+        WHEN {more} AND event_id % 20 = 0 THEN array({reading}, {undated}, {repeated})
         WHEN event_id % 4 = 0 THEN array({reading}, {undated})
-        WHEN event_id % 5 = 0 THEN array({reading}, {again})
+        WHEN {more} AND event_id % 5 = 0 THEN array({reading}, {repeated})
         ELSE array({reading}) END"""
     return mv.select(
         F.col("event_id").alias("id"),
@@ -75,11 +77,11 @@ def readings_landing(mv: DataFrame) -> DataFrame:
     )
 
 
-def station_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_landing(spark: SparkSession, sf_dir: str, again: bool = True) -> DataFrame:
     """One station document per supplier.
 
-    Each seventh holds a second item without notation; each eleventh the station
-    once more, without a label. `status` is a list, an empty list or an object;
+    Each seventh holds a second item without notation; each eleventh, unless `again` is
+    off, the station once more, without a label. `status` is a list, an empty list or an object;
     one property, or the measures of one, are missing here and there.
     """
     kinds = ", ".join(f"'{kind}'" for kind in EVENT_TYPES)
@@ -112,12 +114,12 @@ def station_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             filter(array({kinds}), t -> t <> 'click' OR s_suppkey % 10 <> 9),
             t -> transform(array({units}), u -> {measure}))) AS measures""",
     )
-    station, again = item("concat('S', s_suppkey)", "s_name"), item("concat('S', s_suppkey)", "NULL")
+    station, repeated = item("concat('S', s_suppkey)", "s_name"), item("concat('S', s_suppkey)", "NULL")
     return described.selectExpr(
         "s_suppkey AS id",
         f"'{text.STATION_DATASET}' AS dataset",
         f"""concat('{{"items":[', concat_ws(',', {station},
             if(s_suppkey % 7 = 0, {item("''", "'blank'")}, NULL),
-            if(s_suppkey % 11 = 0, {again}, NULL)), ']}}') AS payload""",
+            if({str(again).lower()} AND s_suppkey % 11 = 0, {repeated}, NULL)), ']}}') AS payload""",
         f"'{STATION_STAMP}' AS ingested_at",
     )

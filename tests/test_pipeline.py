@@ -323,6 +323,16 @@ def test_duplicates_stop_the_run_at_bronze(warehouse):
     assert not warehouse.exists("silver_measure")
 
 
+def test_duplicates_in_an_older_batch_are_reported(warehouse):
+    two_batches(warehouse)
+    put(warehouse, (BANK_SET, doc(reading(), reading(value=9.9)), OLD))
+    run.refine_newest(warehouse, 2)
+    run.refine_all(warehouse, 2, gate=False)
+    assert run.full_report(warehouse, 2).filter("not ok and seq = 11").count() == 1
+    with pytest.raises(ValidationError, match="reading keys"):
+        run.refine_all(warehouse, 2)
+
+
 def test_both_spellings_of_utc_pass_bronze_and_merge_in_silver(warehouse):
     two_batches(warehouse)
     put(warehouse, (BANK_SET, doc(reading("2026-02-25T09:45:00+00:00", 9.9)), NEW))
