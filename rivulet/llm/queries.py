@@ -126,6 +126,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two to four words of each language, by their lowest cut."""
+    from rivulet.llm import phrases
+
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every URL by the listed rules, then by those mined from what the list judges."""
+    from rivulet.llm import urlrules
+
+    return urlrules.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near rows of other labels for each anchor and positive."""
+    from rivulet.llm import negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 ALL = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
@@ -137,6 +160,9 @@ ALL = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
+    "op12_url_filters": op12_url_filters,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Tokenizers, packing and fitted models are beyond SQL; tests hold those queries against
@@ -146,4 +172,7 @@ SQL: dict[str, str] = {
     "op5_repeats": sql.OP5,
     "op7_top_k": sql.OP7,
     "op8_near_duplicates": sql.OP8,
+    "op11_phrases": sql.OP11,
+    "op12_url_filters": sql.OP12,
+    "op13_hard_negatives": sql.OP13,
 }

@@ -102,3 +102,144 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
 FROM d LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
+
+# Phrases of two to four words: f holds the count of every phrase, cut the lowest cut.
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_FOLDED}, '[^.,;:!?\\x0A-\\x0D]+')) AS p
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, m, ws[s:s + m - 1] AS g
+  FROM (SELECT lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS s
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m)
+), f AS (
+  SELECT lang, m, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), total AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, c.k, x.a AS l, y.a AS r,
+         CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m > 1) c
+  JOIN f x ON x.lang = c.lang AND x.m = c.k AND x.g = c.g[1:c.k]
+  JOIN f y ON y.lang = c.lang AND y.m = c.m - c.k AND y.g = c.g[c.k + 1:c.m]
+), cut AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, g[s:s + j - 1] AS g, a
+  FROM (SELECT *, unnest(generate_series(1, m - j + 1)) AS s
+        FROM (SELECT *, unnest(generate_series(2, m - 1)) AS j FROM f WHERE m > 2))
+), covers AS (
+  SELECT lang, g, max(a) AS cover FROM inner_parts GROUP BY ALL
+), kept AS (
+  SELECT cut.*, array_to_string(cut.g, ' ') AS phrase
+  FROM cut LEFT JOIN covers ON covers.lang = cut.lang AND covers.g = cut.g
+  WHERE cover IS NULL OR 100 * cover < 80 * a
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+# URLs: the listed rules, then rules of up to three tokens mined from what those judge.
+OP12 = r"""
+WITH listed(said, name, start) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+         ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), cut AS (
+  SELECT row_number() OVER () AS row, page_id, url,
+         CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS asked
+  FROM cut
+), fitting AS (
+  SELECT row, said, name || start AS rule FROM parts JOIN listed
+  ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(name || start) DESC, name DESC, start DESC) = 1
+), folded AS (
+  SELECT row, url, rest,
+         regexp_replace(host, '[0-9]+', '#', 'g') AS h,
+         list_filter(string_split(regexp_replace(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '#', 'g'), '/'), lambda x: x <> '') AS steps,
+         regexp_replace(translate(asked, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '#', 'g') AS asked,
+         regexp_replace(translate(split_part(url, '://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '#', 'g') AS scheme
+  FROM parts
+), token_rows AS (
+  SELECT row, 'name:' || unnest(string_split_regex(array_to_string(
+           string_split(h, '.')[1:len(string_split(h, '.')) - 1], '.'), '[.-]')) AS token FROM folded
+  UNION SELECT row, 'scheme:' || scheme FROM folded WHERE rest <> ''
+  UNION SELECT row, 'top:' || string_split(h, '.')[-1] FROM folded
+  UNION SELECT row, 'dir:' || steps[1] FROM folded WHERE len(steps) > 1
+  UNION SELECT row, 'mid:' || array_to_string(steps[2:len(steps) - 1], '/') FROM folded WHERE len(steps) > 2
+  UNION SELECT row, 'page:' || regexp_extract(steps[-1], '(?s)^(.*?)([.][^.]*)?\z', 1) FROM folded WHERE len(steps) > 0
+  UNION SELECT row, 'ext:' || regexp_extract(steps[-1], '[.]([^.]*)\z', 1) FROM folded WHERE len(steps) > 0
+  UNION SELECT row, 'query:' || array_to_string(list_sort(list_distinct(list_transform(
+           string_split(asked, '&'), lambda x: split_part(x, '=', 1)))), '&') FROM folded
+  UNION SELECT row, 'fragment' FROM folded WHERE contains(rest, '#')
+), token AS (
+  SELECT row, token FROM token_rows
+  WHERE token NOT IN ('name:', 'scheme:', 'top:', 'mid:', 'page:', 'ext:', 'query:')
+), labelled AS (
+  SELECT t.row, token, said FROM token t JOIN fitting USING (row)
+), sized AS (
+  SELECT count(*) AS n FROM fitting
+), itemsets AS (
+  SELECT [token] AS items, said, count(*) AS n FROM labelled GROUP BY ALL
+  UNION ALL
+  SELECT [a.token, b.token], a.said, count(*) FROM labelled a
+  JOIN labelled b ON a.row = b.row AND a.token < b.token GROUP BY ALL
+  UNION ALL
+  SELECT [a.token, b.token, c.token], a.said, count(*) FROM labelled a
+  JOIN labelled b ON a.row = b.row AND a.token < b.token
+  JOIN labelled c ON a.row = c.row AND b.token < c.token GROUP BY ALL
+), alone AS (
+  SELECT items, sum(n) AS alone FROM itemsets GROUP BY items
+), sure AS (
+  SELECT items, said, i.n AS together, alone, CAST(i.n AS DOUBLE) / alone AS confidence
+  FROM itemsets i JOIN alone USING (items), sized
+  WHERE i.n >= ceil(CAST(0.01 AS DOUBLE) * sized.n) AND 100 * i.n >= 90 * alone
+), rules AS (
+  SELECT * FROM sure r WHERE NOT EXISTS (
+    SELECT 1 FROM sure s WHERE s.said = r.said AND len(s.items) < len(r.items)
+      AND list_has_all(r.items, s.items) AND s.confidence >= r.confidence)
+), sets AS (
+  SELECT row, list(token) AS own FROM token ANTI JOIN fitting USING (row) GROUP BY row
+), mined AS (
+  SELECT row, said, array_to_string(items, ' ') AS mined_rule FROM sets JOIN rules
+  ON list_has_all(own, items)
+  QUALIFY row_number() OVER (PARTITION BY row
+    ORDER BY confidence DESC, together DESC, len(items), array_to_string(items, ' '), said) = 1
+)
+SELECT page_id, host, path, rule, coalesce(f.said, m.said, 'allow') AS verdict, mined_rule
+FROM parts LEFT JOIN fitting f USING (row) LEFT JOIN mined m USING (row)
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
