@@ -40,10 +40,11 @@ SCALE = 1_000_000
 
 HEAD = 8_192  # units with a rank
 TILE = 512  # ranks to a side of a tile
-DENSE = 32  # tiles a task counts densely at a time
+DENSE = 16  # tiles a task counts densely at a time
 FILLED = TILE * TILE // 16  # pairs in one slice that make a tile dense
-PENDING = 2_000_000  # coordinates a task holds before it sums them up
+PENDING = 400_000  # coordinates a task holds before it sums them up
 BITS = 26
+SLICE_BYTES = 1 << 20  # of text, worked on at a time
 SALTS = 16
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
@@ -87,7 +88,7 @@ class Slice:
 
 def _slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Slice]:
     alphabet = _alphabet()
-    for batch in words.slices(batches):
+    for batch in words.slices(batches, most=SLICE_BYTES):
         yield Slice(batch, alphabet, seed)
 
 
@@ -190,9 +191,12 @@ def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class Tiles:
     """Counts of pairs of ranks in dense tiles, of all other pairs as sorted coordinates."""
 
-    def __init__(self, units: Units, size: int):
+    def __init__(
+        self, units: Units, size: int, tile: int = TILE, dense: int = DENSE, filled: int = FILLED
+    ):
         self.units, self.size = units, size
-        self.side = -(-max(len(units.head), 1) // TILE)
+        self.tile, self.most, self.filled = tile, dense, filled
+        self.side = -(-max(len(units.head), 1) // tile)
         self.dense: dict[int, np.ndarray] = {}
         self.loose: list[tuple[np.ndarray, list[np.ndarray], np.ndarray]] = []
         self.pending = 0
@@ -201,7 +205,8 @@ class Tiles:
         """Pairs by rank (-1 for none) and by the ids of all their words."""
         ranked = (left >= 0) & (right >= 0)
         a, b = left[ranked], right[ranked]
-        tile = (a // TILE) * self.side + b // TILE
+        side = self.tile
+        tile = (a // side) * self.side + b // side
         order = np.argsort(tile.astype(np.uint16 if self.side < 256 else np.int64), kind="stable")
         edges = np.flatnonzero(np.diff(tile[order], prepend=-1, append=-1))
         sparse = [np.flatnonzero(~ranked)]
@@ -210,12 +215,12 @@ class Tiles:
             own = order[low:high]
             key = int(tile[own[0]])
             if key not in self.dense:
-                if high - low < FILLED or len(self.dense) == DENSE:
+                if high - low < self.filled or len(self.dense) == self.most:
                     sparse.append(where[own])
                     continue
-                self.dense[key] = np.zeros(TILE * TILE, np.int64)
-            cell = (a[own] % TILE) * TILE + b[own] % TILE
-            self.dense[key] += np.bincount(cell, minlength=TILE * TILE)
+                self.dense[key] = np.zeros(side * side, np.int64)
+            cell = (a[own] % side) * side + b[own] % side
+            self.dense[key] += np.bincount(cell, minlength=side * side)
         rest = np.concatenate(sparse)
         if len(rest):
             columns = [c[rest] for c in ids]
@@ -237,8 +242,8 @@ class Tiles:
     def dense_rows(self) -> Iterator[pa.RecordBatch]:
         for key, counts in self.dense.items():
             cell = np.flatnonzero(counts)
-            left = (key // self.side) * TILE + cell // TILE
-            right = (key % self.side) * TILE + cell % TILE
+            left = (key // self.side) * self.tile + cell // self.tile
+            right = (key % self.side) * self.tile + cell % self.tile
             head = self.units.head
             columns = [head[left, i] for i in range(self.size)] + [head[right, self.size - 1]]
             yield from _batches(_hash(columns), columns, counts[cell])
