@@ -234,7 +234,8 @@ def judge(
     own = F.when(F.col("said").isNull(), tokens(url)).otherwise(F.array().cast("array<string>"))
     open_pages = seen.withColumn("tokens", own)
     sets = open_pages.where(F.size("tokens") > 0).select("tokens").distinct()
-    best = matched(sets, found)
+    # written, so that its size is known and a small one needs no shuffle of the pages
+    best = scratch.write(matched(sets, found), "urlrules-matched")
     return open_pages.join(best, "tokens", "left").select(
         "page_id",
         "host",
