@@ -21,10 +21,32 @@ def to_long(text: Column) -> Column:
     return F.coalesce(F.when(text.rlike(_DIGITS), F.trim(text).try_cast("bigint")), whole)
 
 
-def first_status_label(status: Column) -> Column:
-    """Label of the first status; NULL unless the JSON text is a list whose first has one.
+def _first_status(status: Column) -> Column:
+    """The first entry of a list of statuses, as VARIANT; NULL for an empty list or no list.
 
-    Read as VARIANT, so that entries of another kind further on do not matter.
+    Entries of another kind further on do not matter.
     """
     value = F.try_parse_json(F.when(status.startswith("["), status))
-    return F.try_variant_get(value, "$[0].label", "string")
+    return F.try_variant_get(value, "$[0]", "variant")
+
+
+def _kind(value: Column) -> Column:
+    """OBJECT, ARRAY, VOID for a JSON null, or a scalar's type."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def first_status_label(status: Column) -> Column:
+    """Label of the first status; NULL unless the JSON text is a list whose first has one."""
+    label = F.try_variant_get(_first_status(status), "$.label", "variant")
+    return F.when(~_kind(label).isin("OBJECT", "ARRAY"), label.try_cast("string"))
+
+
+def status_is_no_object(status: Column) -> Column:
+    """True for a list of statuses whose first is not an object."""
+    return F.coalesce(_kind(_first_status(status)) != "OBJECT", F.lit(False))
+
+
+def status_label_is_nested(status: Column) -> Column:
+    """True for a list of statuses whose first has a list or an object for a label."""
+    label = F.try_variant_get(_first_status(status), "$.label", "variant")
+    return F.coalesce(_kind(label).isin("OBJECT", "ARRAY"), F.lit(False))

@@ -95,6 +95,19 @@ def any_blank(names: list[str]) -> Column:
     return blank
 
 
+# Names of the kinds of landed datasets.
+STATIONS, READINGS, OTHER = "stations", "readings", "other"
+
+
+def dataset_kind(dataset: Column) -> Column:
+    """What an overwriting run drops (stations, readings), or other; NULL is other."""
+    return (
+        F.when(dataset == STATION_DATASET, F.lit(STATIONS))
+        .when(in_dataset_kind(dataset), F.lit(READINGS))
+        .otherwise(F.lit(OTHER))
+    )
+
+
 def in_dataset_kind(dataset: Column, pattern: str = READINGS_KIND + "%") -> Column:
     """LIKE without regard to case, where '_' stands for any character."""
     return dataset.ilike(pattern)

@@ -37,6 +37,26 @@ def only_readings(landing: DataFrame) -> DataFrame:
     return landing.filter(F.col("dataset").startswith(text.READINGS_PREFIX))
 
 
+def only_ignored(landing: DataFrame) -> DataFrame:
+    """Payloads that no layer reads; they only have to be JSON."""
+    dataset = F.col("dataset")
+    read = (dataset == text.STATION_DATASET) | dataset.startswith(text.READINGS_PREFIX)
+    return landing.filter(~F.coalesce(read, F.lit(False)))
+
+
+def ignored_issues(landing: DataFrame) -> DataFrame:
+    """Payloads of ignored datasets that are not JSON (ISSUE schema)."""
+    broken = F.col("payload").isNull() | F.try_parse_json("payload").isNull()
+    return only_ignored(landing).filter(broken).select(
+        F.col("id").alias("landing_id"),
+        "dataset",
+        F.lit(None).cast("bigint").alias("pos"),
+        F.lit(NOT_JSON).alias("issue"),
+        F.lit(None).cast("string").alias("detail"),
+        "ingested_at",
+    )
+
+
 def _open(landing: DataFrame, document: StructType) -> DataFrame:
     parsed = landing.select(
         F.col("id").alias("landing_id"),
@@ -99,8 +119,16 @@ def _suspect(texts: list[str], doubles: list[str], longs: list[str]) -> Column:
     )
 
 
+def _odd_status(test: Callable[[Column], Column]) -> Column:
+    """A test of the status of an item that becomes a station."""
+    item = F.col("item")
+    return ~text.is_blank(item["notation"]) & test(item["status"])
+
+
 def _station_suspect() -> Column:
-    return _suspect(_STATION_TEXTS, _STATION_DOUBLES, _STATION_LONGS)
+    status = _odd_status(scalars.status_is_no_object) | _odd_status(scalars.status_label_is_nested)
+    found = _suspect(_STATION_TEXTS, _STATION_DOUBLES, _STATION_LONGS)
+    return found | F.coalesce(status, F.lit(False))
 
 
 def _reading_suspect() -> Column:
@@ -164,8 +192,10 @@ UNREADABLE = "payload is not a document with items"
 BAD_NAME = "dataset name has fewer than three parts"
 BAD_ITEM = "item is not an object"
 NESTED = "field is not a scalar"
+BAD_STATUS = "first status is not an object"
+NOT_JSON = "payload is not JSON"
 NOT_NUMERIC = "not a number, taken as NULL"
-FATAL = [UNREADABLE, BAD_NAME, BAD_ITEM, NESTED]
+FATAL = [UNREADABLE, BAD_NAME, BAD_ITEM, NESTED, BAD_STATUS, NOT_JSON]
 
 
 def _leaf_issues(texts: list[str], doubles: list[str], longs: list[str]) -> list[Column]:
@@ -207,7 +237,7 @@ def _drop_texts(issues: DataFrame, landing: DataFrame) -> DataFrame:
     A text leaf shows '["a"]' for both the list and the text, so the few payloads
     in question are parsed once more as VARIANT, which keeps the type.
     """
-    doubtful = issues.filter(F.col("issue") == NESTED)
+    doubtful = issues.filter(F.col("issue").isin(NESTED, BAD_STATUS))
     suspects = landing.join(
         doubtful.select(F.col("landing_id").alias("id")).distinct(), "id", "left_semi"
     ).select(
@@ -215,7 +245,8 @@ def _drop_texts(issues: DataFrame, landing: DataFrame) -> DataFrame:
         F.from_json("payload", schemas.RAW_ITEMS_DOC, _PARSE)["items"].alias("items"),
     )
     raw = suspects.select("landing_id", F.posexplode("items").alias("pos", "raw"))
-    names = sorted({*_STATION_TEXTS, *_READING_TEXTS, *_STATION_DOUBLES, *_STATION_LONGS, "value"})
+    fields = [*_STATION_TEXTS, *_READING_TEXTS, *_STATION_DOUBLES, *_STATION_LONGS]
+    names = sorted({*fields, "value", "status"})
     shape = "struct<" + ",".join(f"{name}: variant" for name in names) + ">"
     opened = raw.select(
         "landing_id", F.col("pos").cast("bigint").alias("pos"), F.from_json("raw", shape).alias("v")
@@ -235,12 +266,17 @@ def _drop_texts(issues: DataFrame, landing: DataFrame) -> DataFrame:
             )
         ),
     ).filter(F.col("kind") == "STRING")
-    settled = texts.select("landing_id", "pos", "detail", F.lit(NESTED).alias("issue"))
-    return issues.join(settled, ["landing_id", "pos", "detail", "issue"], "left_anti")
+    settled = texts.select("landing_id", "pos", "detail")
+    kept = issues.filter(~F.col("issue").isin(NESTED, BAD_STATUS))
+    return kept.unionByName(doubtful.join(settled, ["landing_id", "pos", "detail"], "left_anti"))
 
 
 def document_issues(landing: DataFrame) -> DataFrame:
-    """Every defect of the landed payloads as a row (ISSUE schema)."""
+    """Every defect of the landed payloads as a row (ISSUE schema), ignored datasets included."""
+    status = [
+        F.when(_odd_status(scalars.status_is_no_object), _issue(BAD_STATUS, F.lit("status"))),
+        F.when(_odd_status(scalars.status_label_is_nested), _issue(NESTED, F.lit("status"))),
+    ]
     stations = _items(only_stations(landing), schemas.STATION_DOC)
     readings = _items(only_readings(landing), schemas.READING_DOC)
     bad_names = (
@@ -256,9 +292,10 @@ def document_issues(landing: DataFrame) -> DataFrame:
         )
     )
     found = _list_issues(
-        stations, _leaf_issues(_STATION_TEXTS, _STATION_DOUBLES, _STATION_LONGS)
+        stations, _leaf_issues(_STATION_TEXTS, _STATION_DOUBLES, _STATION_LONGS) + status
     ).unionByName(_list_issues(readings, _leaf_issues(_READING_TEXTS, _READING_DOUBLES, [])))
     found = _drop_texts(found, landing).unionByName(bad_names)
+    found = found.unionByName(ignored_issues(landing))
     return found.select(*schemas.ISSUE.fieldNames())
 
 
