@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions import text
@@ -31,14 +31,19 @@ def only_latest(df: DataFrame, landing: DataFrame, column: str = BATCH) -> DataF
     return df.filter(F.col(column) == newest)
 
 
+def dropped_datasets(names: list[str], pattern: str | None = None) -> Column:
+    """True for datasets with one of the names, or like the pattern, in any case."""
+    dropped = F.col("dataset").isin(names)
+    if pattern is not None:
+        dropped = dropped | text.in_dataset_kind(F.col("dataset"), pattern)
+    return F.coalesce(dropped, F.lit(False))
+
+
 def without_datasets(
     landing: DataFrame, names: list[str], pattern: str | None = None
 ) -> DataFrame:
     """What stays when some datasets are dropped, by exact name and by a LIKE pattern."""
-    dropped = F.col("dataset").isin(names)
-    if pattern is not None:
-        dropped = dropped | text.in_dataset_kind(F.col("dataset"), pattern)
-    return landing.filter(~F.coalesce(dropped, F.lit(False)))
+    return landing.filter(~dropped_datasets(names, pattern))
 
 
 def survivors(landing: DataFrame) -> DataFrame:

@@ -50,6 +50,19 @@ ISSUE = _struct(
     *_text("issue", "detail", "ingested_at"),
 )
 
+# Why a request could not be served, in the order of stations and checks.
+REQUEST_ERROR = _struct(
+    ("landing_id", LongType()),
+    ("pos", LongType()),
+    ("nth", LongType()),
+    *_text("station_id", "reason", "detail", "ingested_at"),
+)
+
+# Where the rows of a bulk-loaded file start in the numbering of the landing.
+LANDED_FILE = _struct(*_text("kind", "file"), ("first", LongType()), *_text("ingested_at"))
+
+LANDED_COUNT = _struct(*_text("kind"), ("payloads", LongType()), *_text("ingested_at"))
+
 COUNTER = _struct(("value", LongType()), *_text("name"))
 
 # Documents are read with text leaves and cast afterwards: a typed leaf turns a

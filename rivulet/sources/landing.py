@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet import schemas
@@ -13,7 +14,7 @@ from rivulet.functions import text
 from rivulet.operators import batches, keys, lookup
 from rivulet.operators.flatten import station_catalogue
 from rivulet.session import scratch_path
-from rivulet.sources.tables import LANDING, Warehouse
+from rivulet.sources.tables import LANDING, REQUEST_ERRORS, Warehouse
 
 READING_FIELDS = ["dateTime", "value", "quality", "completeness"]
 
@@ -48,24 +49,47 @@ def readings_payloads(ranked: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*keys).agg(F.to_json(F.struct(items)).alias("payload"))
 
 
-def _write(warehouse: Warehouse, rows: DataFrame, append: bool) -> None:
+def _write(warehouse: Warehouse, rows: DataFrame, stamp: str, append: bool) -> None:
     """Files sorted by dataset let a reader of one kind skip the payloads of the others.
 
-    The writer sorts by the partition column in any case.
+    The writer sorts by the partition columns in any case. An overwriting run touches the
+    partitions of stations and readings; the files of other kinds stay as they are.
     """
-    order = ["ingested_at", "dataset", "id"]
+    ordered = rows.sortWithinPartitions("ingested_at", "dataset", "id")
     if append:
-        warehouse.append(LANDING, rows.sortWithinPartitions(*order))
+        warehouse.append(LANDING, ordered, stamp)
     else:
-        kept = batches.survivors(warehouse.read(LANDING))
-        both = kept.unionByName(rows.select(*kept.columns))
-        warehouse.replace(LANDING, both.sortWithinPartitions(*order))
+        warehouse.drop_kinds([text.STATIONS, text.READINGS], ordered)
 
 
 def drop_datasets(warehouse: Warehouse, names: list[str], pattern: str | None = None) -> None:
     """Removes datasets by exact name, and by a LIKE pattern in any case, from the landing."""
-    kept = batches.without_datasets(warehouse.read(LANDING), names, pattern)
-    warehouse.replace(LANDING, kept)
+    warehouse.drop_rows(batches.dropped_datasets(names, pattern))
+
+
+def migrate_landing(
+    warehouse: Warehouse, path: str, ingested_at: str | None = None
+) -> dict[str, object]:
+    """Takes in a landing of an older layout, once: (id, dataset, payload), maybe with stamps.
+
+    Files of several layouts may lie together: the columns of all are read. Rows without a
+    stamp, and all rows where no file has one, get the given stamp or that of now; ids stay,
+    and later ones follow the greatest. A second call for the same path does nothing.
+    """
+    taken = f"migrated {path}"
+    if warehouse.counted(taken):
+        return {"status": "already migrated", "raw_rows_inserted": 0}
+    stamp = batch_stamp(ingested_at)
+    old = warehouse.spark.read.option("mergeSchema", "true").parquet(path)
+    rows = batches.stamped(old, stamp).withColumn("id", F.col("id").cast("bigint"))
+    watch = Observation()
+    seen = rows.observe(watch, F.count(F.lit(1)).alias("rows"), F.max("id").alias("last"))
+    columns = schemas.RAW_LANDING.fieldNames()
+    warehouse.append(LANDING, seen.select(*columns).hint("rebalance", "ingested_at"))
+    count, last = watch.get["rows"], watch.get["last"] or 0
+    warehouse.reserve(LANDING, max(0, last - warehouse.counted(f"{LANDING}.key")))
+    warehouse.count(taken, 1)
+    return {"status": "ok", "raw_rows_inserted": count, "ingested_at": stamp}
 
 
 def land_payloads(
@@ -78,17 +102,27 @@ def land_payloads(
     """Lands (dataset, payload) rows as one batch.
 
     Ids follow `order`, columns that tell the rows apart; without it they follow the
-    rows as they come, which needs no shuffle and suits bulk loads. The batch is
-    written at once and at the end. Without `append` it replaces all station and
-    readings payloads landed before.
+    files that the rows are written to, once and without a shuffle, which suits bulk
+    loads. The batch is seen at once and at the end. Without `append` it replaces all
+    station and readings payloads landed before.
     """
     stamp = batch_stamp(ingested_at)
-    columns = list(dict.fromkeys(["dataset", "payload", *(order or [])]))
+    if not order:
+        if not append:
+            warehouse.drop_kinds([text.STATIONS, text.READINGS])
+        rows = payloads.select(
+            F.lit(None).cast("bigint").alias("id"),
+            "dataset",
+            "payload",
+            F.lit(stamp).alias("ingested_at"),
+        )
+        return {"raw_rows_inserted": warehouse.append_numbered(rows, stamp), "ingested_at": stamp}
+    columns = list(dict.fromkeys(["dataset", "payload", *order]))
     staged = keys.stage_in_order(payloads.select(*columns), order, "id")
     count = staged.count()
     start = warehouse.reserve(LANDING, count)
     rows = keys.number_staged(staged, "id", start).withColumn("ingested_at", F.lit(stamp))
-    _write(warehouse, rows.select(*schemas.RAW_LANDING.fieldNames()), append)
+    _write(warehouse, rows.select(*schemas.RAW_LANDING.fieldNames()), stamp, append)
     return {"raw_rows_inserted": count, "ingested_at": stamp}
 
 
@@ -96,10 +130,15 @@ def land_payload(
     warehouse: Warehouse, dataset: str, payload: str, ingested_at: str | None = None
 ) -> dict[str, object]:
     """Lands a single document, as a batch of its own unless a stamp is given."""
+    stamp = batch_stamp(ingested_at)
     row = warehouse.spark.range(1).select(
-        F.lit(dataset).alias("dataset"), F.lit(payload).alias("payload")
+        F.lit(warehouse.reserve(LANDING, 1) + 1).cast("bigint").alias("id"),
+        F.lit(dataset).alias("dataset"),
+        F.lit(payload).alias("payload"),
+        F.lit(stamp).alias("ingested_at"),
     )
-    return land_payloads(warehouse, row, None, ingested_at)
+    _write(warehouse, row, stamp, True)
+    return {"raw_rows_inserted": 1, "ingested_at": stamp}
 
 
 def payload_files(spark: SparkSession, path: str) -> DataFrame:
@@ -119,23 +158,22 @@ def land_files(
 ) -> dict[str, object]:
     """Lands a folder of payload files as one batch, with ids in path order.
 
-    Only the paths are sorted and numbered (their listing does not open the
-    files); the payloads get their id by a join on the path.
+    The folder is listed once: the paths Spark has found then are numbered, and the
+    payloads, read and written once, get their id by a join on the path.
     """
     spark = warehouse.spark
     stamp = batch_stamp(ingested_at)
-    names = (
-        spark.read.format("binaryFile")
-        .options(pathGlobFilter="*.json", recursiveFileLookup="true")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("source"))
-    )
-    staged = keys.stage_in_order(names, ["source"], "id")
-    count = staged.count()
-    index = keys.number_staged(staged, "id", warehouse.reserve(LANDING, count))
-    rows = payload_files(spark, path).join(index, "source").withColumn("ingested_at", F.lit(stamp))
-    _write(warehouse, rows.select(*schemas.RAW_LANDING.fieldNames()), append)
-    return {"raw_rows_inserted": count, "ingested_at": stamp}
+    files = payload_files(spark, path)
+    # the same paths but for one spelling: file:///x of a listing is file:/x in a row
+    found = sorted(re.sub("^([a-z]+):///", r"\1:/", name) for name in files.inputFiles())
+    start = warehouse.reserve(LANDING, len(found))
+    numbered = [(source, id) for id, source in enumerate(found, start + 1)]
+    index = spark.createDataFrame(numbered, "source string, id bigint")
+    watch = Observation()
+    rows = files.join(index, "source").withColumn("ingested_at", F.lit(stamp))
+    rows = rows.observe(watch, F.count(F.lit(1)).alias("rows"))
+    _write(warehouse, rows.select(*schemas.RAW_LANDING.fieldNames()), stamp, append)
+    return {"raw_rows_inserted": watch.get["rows"], "ingested_at": stamp}
 
 
 def search_items(documents: DataFrame, wanted: str, limit: int = 5) -> DataFrame:
@@ -174,7 +212,8 @@ def land_run(
     `station_documents` has a `payload` column of station documents, `readings`
     has measure_id, dateTime, value, quality and completeness. As a rule the
     request concerns the first station found; `every_station` takes all of them.
-    Raises ValidationError before anything is landed.
+    Raises ValidationError before anything is landed; why it could not be served stays in
+    `request_errors`, under the stamp of the run.
     """
     spark = warehouse.spark
     found = scratch_path(spark, "search")
@@ -192,7 +231,12 @@ def land_run(
     if catalogue.isEmpty():
         raise ValidationError(f"no station found for '{wanted}'")
     errors = lookup.request_errors(catalogue, parameters)
-    error = errors.orderBy("landing_id", "pos", "nth").first()
+    stamp = batch_stamp(ingested_at)
+    errors = errors.withColumns(
+        {"nth": F.col("nth").cast("bigint"), "ingested_at": F.lit(stamp)}
+    )
+    warehouse.replace_batch(REQUEST_ERRORS, errors, stamp)
+    error = warehouse.batch(REQUEST_ERRORS, stamp).orderBy("landing_id", "pos", "nth").first()
     if error:
         raise ValidationError(f"station {error.station_id}: {error.reason} ({error.detail})")
 
@@ -216,5 +260,5 @@ def land_run(
         "payload",
         *[F.lit(-1).alias(name) for name in place],
     )
-    return land_payloads(warehouse, first.unionByName(payloads), place, ingested_at, append)
+    return land_payloads(warehouse, first.unionByName(payloads), place, stamp, append)
 
