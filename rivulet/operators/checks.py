@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.errors import ValidationError
@@ -19,6 +19,24 @@ from rivulet.operators.flatten import FATAL
 
 Rule = tuple[int, str, Column]  # place in the report, name, number of violations
 
+LANDING_RULES = [
+    "station document present",
+    "readings payloads for the request",
+    "payloads in total",
+]
+READABLE = "payloads are readable documents"
+STATION_ROWS = "station table has rows"
+MEASURE_ROWS = "measure table has rows"
+STATION_FIELDS = "station fields present"
+MEASURE_FIELDS = "measure fields present"
+ISO = "timestamps are ISO"
+UNIQUE = "reading keys are unique"
+NO_ORPHANS = "every reading has a station"
+DIMENSION_ROWS = "station dimension has rows"
+FACT_ROWS = "measurement facts have rows"
+FACT_KEYS = "facts have a station key"
+KEYS_KNOWN = "station keys are in the dimension"
+
 STATION_REQUIRED = ["station_id", "label", "ingested_at"]
 SILVER_STATION_REQUIRED = ["station_id", "ingested_at"]
 
@@ -78,16 +96,34 @@ def landing_checks(landing: DataFrame, requested: int) -> DataFrame:
         landing,
         "landing",
         [
-            (1, "station document present", shortfall(stations, 1)),
-            (2, "readings payloads for the request", shortfall(readings, requested)),
-            (3, "payloads in total", shortfall(F.count("*"), 1 + requested)),
+            (1, LANDING_RULES[0], shortfall(stations, 1)),
+            (2, LANDING_RULES[1], shortfall(readings, requested)),
+            (3, LANDING_RULES[2], shortfall(F.count("*"), 1 + requested)),
+        ],
+    )
+
+
+def landing_count_checks(counts: DataFrame, requested: int) -> DataFrame:
+    """The same rules over the payloads counted by kind as they landed."""
+
+    def landed(*kinds: str) -> Column:
+        wanted = F.col("kind").isin(*kinds) if kinds else F.lit(True)
+        return F.coalesce(F.sum(F.when(wanted, F.col("payloads"))), F.lit(0))
+
+    return _report(
+        counts,
+        "landing",
+        [
+            (1, LANDING_RULES[0], shortfall(landed(text.STATIONS), 1)),
+            (2, LANDING_RULES[1], shortfall(landed(text.READINGS), requested)),
+            (3, LANDING_RULES[2], shortfall(landed(), 1 + requested)),
         ],
     )
 
 
 def parse_checks(issues: DataFrame) -> DataFrame:
     fatal = F.count_if(F.col("issue").isin(FATAL))
-    return _report(issues, "parse", [(28, "payloads are readable documents", fatal)])
+    return _report(issues, "parse", [(28, READABLE, fatal)])
 
 
 def request_checks(errors: DataFrame) -> DataFrame:
@@ -103,6 +139,7 @@ def _layer_checks(
     station_required: list[str],
     sample: int | None,
     arrival: list[str],
+    whole: DataFrame | None,
 ) -> list[DataFrame]:
     anchor = empty[0]
     parts = [
@@ -117,23 +154,24 @@ def _layer_checks(
             stations,
             layer,
             [
-                (first + 2, "station table has rows", has_rows),
-                required_rule(first + 4, "station fields present", station_required),
+                (first + 2, STATION_ROWS, has_rows),
+                required_rule(first + 4, STATION_FIELDS, station_required),
             ],
         )
     )
-    measure_rules = [
-        (first + 3, "measure table has rows", has_rows),
-        required_rule(first + 5, "measure fields present", REQUIRED),
-    ]
-    iso = iso_rule(first + 6, "timestamps are ISO")
+    measure_rules = [required_rule(first + 5, MEASURE_FIELDS, REQUIRED)]
+    if whole is None:
+        measure_rules.insert(0, (first + 3, MEASURE_ROWS, has_rows))
+    else:
+        parts.append(_report(whole.limit(1), layer, [(first + 3, MEASURE_ROWS, has_rows)]))
+    iso = iso_rule(first + 6, ISO)
     if sample is None:
         parts.append(_report(measures, layer, [*measure_rules, iso]))
     else:
         parts.append(_report(measures, layer, measure_rules))
         parts.append(_report(newest_rows(measures, sample, arrival), layer, [iso]))
     groups = duplicate_groups(measures, READING_KEY)
-    parts.append(_report(groups, layer, [(first + 7, "reading keys are unique", F.count("*"))]))
+    parts.append(_report(groups, layer, [(first + 7, UNIQUE, F.count("*"))]))
     return parts
 
 
@@ -145,11 +183,16 @@ def bronze_checks(
     measures: DataFrame | None,
     empty: tuple[DataFrame, DataFrame],
     sample: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
-    """Rules 4 to 11. All timestamps are tested; `sample=20` tests the newest 20 only."""
+    """Rules 4 to 11. All timestamps are tested; `sample=20` tests the newest 20 only.
+
+    Where `measures` is a part of the table, `whole` is all of it: a batch may bring no
+    readings as long as the table has some.
+    """
     return _together(
         _layer_checks(
-            "bronze", stations, measures, empty, 4, STATION_REQUIRED, sample, _ARRIVAL
+            "bronze", stations, measures, empty, 4, STATION_REQUIRED, sample, _ARRIVAL, whole
         )
     )
 
@@ -159,24 +202,28 @@ def silver_checks(
     measures: DataFrame | None,
     empty: tuple[DataFrame, DataFrame],
     sample: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
-    """Rules 12 to 20; the last one finds readings without a station."""
+    """Rules 12 to 20; the last one finds readings without a station. `whole` as in bronze."""
     parts = _layer_checks(
-        "silver", stations, measures, empty, 12, SILVER_STATION_REQUIRED, sample, _ARRIVAL
+        "silver", stations, measures, empty, 12, SILVER_STATION_REQUIRED, sample, _ARRIVAL, whole
     )
     lost = lookup.orphans(
         empty[1] if measures is None else measures,
         empty[0] if stations is None else stations,
         "station_id",
     )
-    parts.append(_report(lost, "silver", [(20, "every reading has a station", F.count("*"))]))
+    parts.append(_report(lost, "silver", [(20, NO_ORPHANS, F.count("*"))]))
     return _together(parts)
 
 
 def gold_checks(
-    dimension: DataFrame | None, facts: DataFrame | None, empty: tuple[DataFrame, DataFrame]
+    dimension: DataFrame | None,
+    facts: DataFrame | None,
+    empty: tuple[DataFrame, DataFrame],
+    whole: DataFrame | None = None,
 ) -> DataFrame:
-    """Rules 21 to 26; the last one is the foreign key of the facts."""
+    """Rules 21 to 26; the last one is the foreign key of the facts. `whole` as in bronze."""
     parts = [
         _fixed(empty[0], "gold", 21, "station dimension exists", int(dimension is None)),
         _fixed(empty[0], "gold", 22, "measurement facts exist", int(facts is None)),
@@ -184,29 +231,88 @@ def gold_checks(
     dimension = empty[0] if dimension is None else dimension
     facts = empty[1] if facts is None else facts
     has_rows = shortfall(F.count("*"), 1)
-    parts.append(_report(dimension, "gold", [(23, "station dimension has rows", has_rows)]))
-    parts.append(
-        _report(
-            facts,
-            "gold",
-            [
-                (24, "measurement facts have rows", has_rows),
-                (25, "facts have a station key", F.count_if(F.col("station_key").isNull())),
-            ],
-        )
-    )
+    parts.append(_report(dimension, "gold", [(23, DIMENSION_ROWS, has_rows)]))
+    rules = [(25, FACT_KEYS, F.count_if(F.col("station_key").isNull()))]
+    if whole is None:
+        rules.insert(0, (24, FACT_ROWS, has_rows))
+    else:
+        parts.append(_report(whole.limit(1), "gold", [(24, FACT_ROWS, has_rows)]))
+    parts.append(_report(facts, "gold", rules))
     dangling = lookup.orphans(
         facts.filter(F.col("station_key").isNotNull()), dimension, "station_key"
     )
-    parts.append(_report(dangling, "gold", [(26, "station keys are in the dimension", F.count("*"))]))
+    parts.append(_report(dangling, "gold", [(26, KEYS_KNOWN, F.count("*"))]))
     return _together(parts)
 
 
+# --- the rules batch by batch ------------------------------------------------
+
+
+def measures_by_batch(measures: DataFrame, sample: int | None = None) -> DataFrame:
+    """ingested_at, rows, missing, not_iso, copies: what the rules find in each batch."""
+    not_iso = F.count_if(~text.is_iso_timestamp(F.col("datetime")))
+    keyed = measures.groupBy(*READING_KEY).agg(
+        F.count("*").alias("rows"),
+        F.count_if(text.any_blank(REQUIRED)).alias("missing"),
+        not_iso.alias("not_iso"),
+    )
+    found = keyed.groupBy("ingested_at").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("missing").alias("missing"),
+        F.sum("not_iso").alias("not_iso"),
+        F.count_if(F.col("rows") > 1).alias("copies"),
+    )
+    if sample is None:
+        return found
+    newest = Window.partitionBy("ingested_at").orderBy(F.desc("landing_id"), F.desc("pos"))
+    sampled = measures.withColumn("place", F.row_number().over(newest)).filter(
+        F.col("place") <= sample
+    )
+    tested = sampled.groupBy("ingested_at").agg(not_iso.alias("not_iso"))
+    return found.drop("not_iso").join(tested, "ingested_at", "left")
+
+
+def faulty_stations_by_batch(
+    existing: DataFrame, arrivals: DataFrame, required: list[str]
+) -> DataFrame:
+    """ingested_at, change: by how many stations without a required field each batch changes
+    the table, which held `existing` before; that is the row with an empty batch.
+
+    A station counts from the batch it arrives with until the next one it arrives with.
+    """
+    columns = ["station_id", "ingested_at", "faulty"]
+    faulty = text.any_blank(required)
+    before = existing.withColumn("faulty", faulty).withColumn("ingested_at", F.lit(""))
+    order = [F.desc(name) for name in ("landing_id", "pos")]
+    last = Window.partitionBy("station_id", "ingested_at").orderBy(*order)
+    states = arrivals.withColumn("faulty", faulty).withColumn("place", F.row_number().over(last))
+    states = states.filter(F.col("place") == 1).select(*columns)
+    states = states.unionByName(before.select(*columns))
+    following = F.lead("ingested_at").over(Window.partitionBy("station_id").orderBy("ingested_at"))
+    held = states.withColumn("until", following).filter("faulty")
+    events = held.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("ingested_at"), F.lit(1).alias("change")),
+                F.struct(F.col("until").alias("ingested_at"), F.lit(-1).alias("change")),
+            )
+        )
+    )
+    return (
+        events.filter(F.col("ingested_at").isNotNull())
+        .groupBy("ingested_at")
+        .agg(F.sum("change").alias("change"))
+    )
+
+
+def failure(layer: str, seq: int, name: str, violations: int) -> ValidationError:
+    return ValidationError(
+        f"{layer} validation failed: {name} (rule {seq}, {violations} violations)"
+    )
+
+
 def assert_valid(checks: DataFrame) -> None:
     """Raises for the first failed rule. The report has one row per rule, 28 at most."""
     failed = checks.filter(~F.col("ok")).orderBy("seq").first()
     if failed:
-        raise ValidationError(
-            f"{failed['layer']} validation failed: {failed['check']} "
-            f"(rule {failed['seq']}, {failed['violations']} violations)"
-        )
+        raise failure(failed["layer"], failed["seq"], failed["check"], failed["violations"])

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from rivulet.session import scratch_path
+from rivulet.operators import merge
+from rivulet.sources.staging import Staging
 
 _PART, _ROW = "__part", "__row"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition there
 
 
-def stage_in_order(df: DataFrame, order: list[str] | None, key: str) -> DataFrame:
+def stage_in_order(
+    df: DataFrame, order: list[str] | None, key: str, staging: Staging | None = None
+) -> DataFrame:
     """Writes `df`, sorted by `order`, to the shared folder with each row's place in it.
 
     `order` should tell all rows apart, so that the sort can split any group of
@@ -21,7 +24,6 @@ def stage_in_order(df: DataFrame, order: list[str] | None, key: str) -> DataFram
     those that need one. The written copy fixes the places: losing executors later
     cannot change a key, and the frame may replace a table it was computed from.
     """
-    spark = df.sparkSession
     ordered = df
     if order:
         first = [F.col(key).isNotNull()] if key in df.columns else []
@@ -29,9 +31,7 @@ def stage_in_order(df: DataFrame, order: list[str] | None, key: str) -> DataFram
     placed = ordered.withColumn(_PART, F.spark_partition_id()).withColumn(
         _ROW, F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     )
-    path = scratch_path(spark, f"keys-{key}")
-    placed.write.parquet(path)
-    return spark.read.schema(placed.schema).parquet(path)
+    return (staging or Staging()).write(placed, f"keys-{key}")
 
 
 def number_staged(staged: DataFrame, key: str, start: int = 0) -> DataFrame:
@@ -55,6 +55,30 @@ def number_staged(staged: DataFrame, key: str, start: int = 0) -> DataFrame:
     return keyed.select(place.alias(key), *columns)
 
 
-def assign_keys(df: DataFrame, key: str, order: list[str], start: int = 0) -> DataFrame:
+def assign_keys(
+    df: DataFrame, key: str, order: list[str], start: int = 0, staging: Staging | None = None
+) -> DataFrame:
     """Dense keys above `start`, in `order`, for rows whose `key` is NULL or absent."""
-    return number_staged(stage_in_order(df, order, key), key, start)
+    return number_staged(stage_in_order(df, order, key, staging), key, start)
+
+
+def upsert_keyed(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    key: str,
+    order: list[str],
+    used: int,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """`existing` with the incoming rows written over it; new ones get keys above `used`.
+
+    `incoming` holds each of `keys` once and may have further columns for `order`. Only
+    what is not in `existing` is sorted and staged; known rows keep their `key` and are
+    passed through one join. `incoming` is read twice: stage it if it costs something.
+    """
+    columns = existing.columns
+    fresh = incoming.join(existing.select(*keys), keys, "left_anti")
+    numbered = assign_keys(fresh, key, order, used, staging)
+    known = merge.update_known(existing, incoming, keys, keep=(key,))
+    return known.unionByName(numbered.select(*columns))

@@ -14,19 +14,41 @@ from pyspark.sql import functions as F
 from rivulet.functions import text
 
 
-def keep_known(rows: DataFrame, reference: DataFrame, key: str) -> DataFrame:
+def _reference(rows: DataFrame, reference: DataFrame, key: str, since: str | None, *columns: str):
+    """The reference side of a join by key, and the condition of the join.
+
+    With `since`, a column of the reference, rows of earlier batches do not match.
+    """
+    names = {key: "__key"} | ({since: "__since"} if since else {})
+    side = reference.select(*[F.col(name).alias(new) for name, new in names.items()], *columns)
+    matches = rows[key] == side["__key"]
+    if since:
+        matches = matches & (side["__since"] <= rows["ingested_at"])
+    return side, matches
+
+
+def keep_known(
+    rows: DataFrame, reference: DataFrame, key: str, since: str | None = None
+) -> DataFrame:
     """Rows whose key occurs in `reference`."""
-    return rows.join(reference.select(key), key, "left_semi").select(*rows.columns)
+    side, matches = _reference(rows, reference, key, since)
+    return rows.join(side, matches, "left_semi")
 
 
-def orphans(rows: DataFrame, reference: DataFrame, key: str) -> DataFrame:
+def orphans(
+    rows: DataFrame, reference: DataFrame, key: str, since: str | None = None
+) -> DataFrame:
     """Rows whose key does not occur in `reference`; a NULL key is an orphan too."""
-    return rows.join(reference.select(key), key, "left_anti").select(*rows.columns)
+    side, matches = _reference(rows, reference, key, since)
+    return rows.join(side, matches, "left_anti")
 
 
-def attach(rows: DataFrame, reference: DataFrame, key: str, column: str) -> DataFrame:
+def attach(
+    rows: DataFrame, reference: DataFrame, key: str, column: str, since: str | None = None
+) -> DataFrame:
     """Rows with `column` looked up by a unique key; unmatched rows are dropped."""
-    return rows.join(reference.select(key, column), key, "inner").select(column, *rows.columns)
+    side, matches = _reference(rows, reference, key, since, column)
+    return rows.join(side, matches, "inner").select(column, *[rows[c] for c in rows.columns])
 
 
 def search_stations(stations: DataFrame, wanted: str, label: str, key: str, limit: int = 5):

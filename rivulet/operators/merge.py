@@ -57,6 +57,29 @@ def upsert(
     return merged.select(*[values[name].alias(name) for name in columns])
 
 
+def update_known(
+    existing: DataFrame, incoming: DataFrame, keys: list[str], keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """`existing` with incoming rows written over those they match, NULLs included.
+
+    Both hold each key once. A left join: where `incoming` is small, Spark broadcasts it and
+    the existing rows are neither shuffled nor sorted.
+    """
+    columns = existing.columns
+    written = [name for name in columns if name not in keep and name not in keys]
+    new = incoming.select(*keys, F.struct(*written).alias("__new"))
+    joined = existing.join(new, keys, "left")
+    fresh = F.col("__new").isNotNull()
+    return joined.select(
+        *[
+            F.when(fresh, F.col("__new")[name]).otherwise(F.col(name)).alias(name)
+            if name in written
+            else F.col(name)
+            for name in columns
+        ]
+    )
+
+
 def with_required(df: DataFrame, required: list[str]) -> DataFrame:
     """Rows without a NULL in a required column; an ignoring insert skips the others."""
     return df.filter(reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in required]))
