@@ -113,9 +113,7 @@ wanted AS (
 )"""
 
 # Landing rows of several kinds, told apart by the dataset name.
-_MIXED = (
-    _MV
-    + """,
+_MIXED_ROWS = """
 mixed AS (
   SELECT event_id AS id,
          CASE event_id % 6
@@ -128,7 +126,7 @@ mixed AS (
          ingested_at
   FROM mv
 )"""
-)
+_MIXED = _MV + "," + _MIXED_ROWS
 
 _SPOTTY = (
     _MV
@@ -246,7 +244,8 @@ SQL: dict[str, str] = {
     "overwrite_landing": _with(
         _MIXED,
         """SELECT id, dataset, ingested_at FROM mixed
-        WHERE NOT (dataset ILIKE 'readings_latest%' OR dataset = 'station_search')""",
+        WHERE NOT (dataset ILIKE 'readings_latest%' OR dataset = 'station_search') UNION ALL
+        SELECT (SELECT max(id) FROM mixed) + 1, 'station_search', '2024-01-31T00:00:00+00:00'""",
     ),
     "append_landing": _with(
         _MIXED,
@@ -419,17 +418,25 @@ SQL: dict[str, str] = {
     "document_issues": _with(
         _MV
         + """, defects AS (
-          SELECT unnest([1, 2, 3, 5, 7, 8]) AS rest,
+          SELECT unnest([1, 2, 3, 5, 7, 8, 10]) AS rest,
             unnest(['payload is not a document with items', 'not a number, taken as NULL',
               'field is not a scalar', 'item is not an object',
               'payload is not a document with items',
-              'dataset name has fewer than three parts']) AS issue,
-            unnest([NULL, 'value', 'quality', NULL, NULL, 'readings_latest__short']) AS detail,
-            unnest([NULL, 0, 0, 0, NULL, NULL]) AS pos)""",
-        """SELECT event_id AS landing_id, CASE WHEN rest = 8 THEN 'readings_latest__short'
+              'dataset name has fewer than three parts', 'payload is not JSON']) AS issue,
+            unnest([NULL, 'value', 'quality', NULL, NULL, 'readings_latest__short', NULL]) AS detail,
+            unnest([NULL, 0, 0, 0, NULL, NULL, NULL]) AS pos),
+        shapes AS (
+          SELECT unnest([1, 4, 2, 8]) AS rest,
+            unnest(['first status is not an object', 'first status is not an object',
+              'field is not a scalar', 'field is not a scalar']) AS issue)""",
+        """SELECT event_id AS landing_id, CASE rest WHEN 8 THEN 'readings_latest__short'
+          WHEN 10 THEN 'rainfall'
           ELSE 'readings_latest__' || replace(parameter, ' ', '_') || '__' || measure_id
           END AS dataset, CAST(pos AS BIGINT) AS pos, issue, detail, ingested_at
-        FROM mv JOIN defects ON event_id % 40 = rest""",
+        FROM mv JOIN defects ON event_id % 40 = rest
+        UNION ALL
+        SELECT s_suppkey, 'station_search', 0, issue, 'status', '2024-01-31T00:00:00+00:00'
+        FROM supplier JOIN shapes ON s_suppkey % 10 = rest WHERE s_suppkey % 7 <> 0""",
     ),
     "land_run": _with(
         _MV
@@ -454,44 +461,20 @@ SQL: dict[str, str] = {
     ),
     "pipeline_summary": _with(
         _RUN,
-        """SELECT
-          (SELECT count(*) FROM stations) AS dim_station_upserts,
-          (SELECT count(*) FROM run_silver) AS fact_measurement_inserts,
-          (SELECT batch FROM newest) AS ingested_at,
-          (SELECT count(*) FROM run_bronze) AS measure_inserts,
-          (SELECT count(*) FROM run_silver) AS silver_measure_inserts,
-          (SELECT count(*) FROM stations) AS silver_station_upserts,
-          (SELECT count(*) FROM station_items) AS station_upserts,
-          'ok' AS status""",
-    ),
-    "check_report": _with(
-        _RUN
-        + """, rules AS (
-          SELECT unnest([1, 2, 3, 28, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20,
-                         21, 22, 23, 24, 25, 26]) AS seq,
-          unnest(['landing', 'landing', 'landing', 'parse',
-            'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze',
-            'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver',
-            'gold', 'gold', 'gold', 'gold', 'gold', 'gold']) AS layer,
-          unnest(['station document present', 'readings payloads for the request',
-            'payloads in total', 'payloads are readable documents',
-            'station table exists', 'measure table exists', 'station table has rows',
-            'measure table has rows', 'station fields present', 'measure fields present',
-            'timestamps are ISO', 'reading keys are unique',
-            'station table exists', 'measure table exists', 'station table has rows',
-            'measure table has rows', 'station fields present', 'measure fields present',
-            'timestamps are ISO', 'reading keys are unique', 'every reading has a station',
-            'station dimension exists', 'measurement facts exist', 'station dimension has rows',
-            'measurement facts have rows', 'facts have a station key',
-            'station keys are in the dimension']) AS "check"),
-        counted AS (
-          SELECT *, CASE seq
-            WHEN 8 THEN (SELECT count(*) FROM stations WHERE label IS NULL)
-            WHEN 11 THEN (SELECT count(*) FROM (
-              SELECT 1 FROM run_bronze GROUP BY measure_id, precise HAVING count(*) > 1))
-            ELSE 0 END AS violations
-          FROM rules)""",
-        """SELECT seq, layer, "check", violations, violations = 0 AS ok FROM counted""",
+        """SELECT batch AS ingested_at, 'ok' AS status,
+          coalesce(max(m), 0) AS measure_inserts,
+          CAST(coalesce(sum(n) FILTER (kind = 'items'), 0) AS BIGINT) AS station_upserts,
+          CAST(coalesce(sum(n) FILTER (kind = 'stations'), 0) AS BIGINT) AS silver_station_upserts,
+          CAST(coalesce(sum(n) FILTER (kind = 'stations'), 0) AS BIGINT) AS dim_station_upserts,
+          CAST(coalesce(sum(n) FILTER (kind = 'silver'), 0) AS BIGINT) AS silver_measure_inserts,
+          CAST(coalesce(sum(n) FILTER (kind = 'silver'), 0) AS BIGINT) AS fact_measurement_inserts
+        FROM (SELECT DISTINCT ingested_at AS batch FROM mv
+              UNION SELECT '2024-01-31T00:00:00+00:00') b
+        LEFT JOIN (SELECT ingested_at, count(*) AS m FROM items GROUP BY 1) i ON i.ingested_at = batch
+        LEFT JOIN (SELECT '2024-01-31T00:00:00+00:00' AS at, 'items' AS kind, count(*) AS n FROM station_items
+          UNION ALL SELECT '2024-01-31T00:00:00+00:00', 'stations', count(*) FROM stations
+          UNION ALL SELECT ingested_at, 'silver', count(*) FROM run_silver GROUP BY 1) c ON c.at = batch
+        GROUP BY batch""",
     ),
     "pipeline_facts": _with(
         _RUN,
@@ -502,6 +485,157 @@ SQL: dict[str, str] = {
     ),
 }
 
+# The rules of a report: place, layer, name.
+_RULES = """
+rules AS (
+  SELECT unnest([27, 1, 2, 3, 28, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20,
+                 21, 22, 23, 24, 25, 26]) AS seq,
+  unnest(['extract', 'landing', 'landing', 'landing', 'parse',
+    'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze', 'bronze',
+    'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver', 'silver',
+    'gold', 'gold', 'gold', 'gold', 'gold', 'gold']) AS layer,
+  unnest(['stations serve the request', 'station document present',
+    'readings payloads for the request', 'payloads in total', 'payloads are readable documents',
+    'station table exists', 'measure table exists', 'station table has rows',
+    'measure table has rows', 'station fields present', 'measure fields present',
+    'timestamps are ISO', 'reading keys are unique',
+    'station table exists', 'measure table exists', 'station table has rows',
+    'measure table has rows', 'station fields present', 'measure fields present',
+    'timestamps are ISO', 'reading keys are unique', 'every reading has a station',
+    'station dimension exists', 'measurement facts exist', 'station dimension has rows',
+    'measurement facts have rows', 'facts have a station key',
+    'station keys are in the dimension']) AS "check")"""
+
+_BLANK = " OR ".join(
+    f"{c} IS NULL OR {c} = ''"
+    for c in ("station_id", "parameter", "unit", "measure_id", "datetime", "ingested_at")
+)
+_BAD_ISO = (
+    f"NOT coalesce(regexp_full_match(replace(datetime, 'Z', '+00:00'), '{_ISO}')"
+    " AND try_cast(replace(datetime, 'Z', '+00:00') AS TIMESTAMPTZ) IS NOT NULL, FALSE)"
+)
+
+
+def _copies(name: str) -> str:
+    keys = "measure_id, datetime, ingested_at"
+    return f"SELECT count(*) FROM (SELECT 1 FROM {name} GROUP BY {keys} HAVING count(*) > 1)"
+
+
+def _count(name: str, condition: str = "TRUE") -> str:
+    return f"SELECT count(*) FROM {name} WHERE {condition}"
+
+
+def _lacking(name: str, wanted: int = 1, condition: str = "TRUE") -> str:
+    return f"SELECT greatest({wanted} - count(*), 0) FROM {name} WHERE {condition}"
+
+
+def _report(parts: str, requested: int, missing: int = 0) -> str:
+    """The report over tables named as the layers'; `missing` tables of each pair do not exist.
+
+    `parts` defines landed (dataset), issues (issue), errors, and the tables of the layers.
+    """
+    counts = {
+        27: _count("errors"),
+        1: _lacking("landed", 1, "dataset = 'station_search'"),
+        2: _lacking("landed", requested, "dataset ILIKE 'readings_latest%'"),
+        3: _lacking("landed", requested + 1),
+        28: _count("issues", "issue <> 'not a number, taken as NULL'"),
+        6: _lacking("b_station"),
+        7: _lacking("b_measure"),
+        8: _count(
+            "b_station",
+            "station_id IS NULL OR station_id = '' OR label IS NULL OR label = ''"
+            " OR ingested_at IS NULL OR ingested_at = ''",
+        ),
+        9: _count("b_measure", _BLANK),
+        10: _count("b_measure", _BAD_ISO),
+        11: _copies("b_measure"),
+        14: _lacking("s_station"),
+        15: _lacking("s_measure"),
+        16: _count(
+            "s_station",
+            "station_id IS NULL OR station_id = '' OR ingested_at IS NULL OR ingested_at = ''",
+        ),
+        17: _count("s_measure", _BLANK),
+        18: _count("s_measure", _BAD_ISO),
+        19: _copies("s_measure"),
+        20: "SELECT count(*) FROM s_measure m WHERE NOT EXISTS"
+        " (SELECT 1 FROM s_station s WHERE s.station_id = m.station_id)",
+        23: _lacking("g_station"),
+        24: _lacking("g_measure"),
+        25: _count("g_measure", "station_key IS NULL"),
+        26: "SELECT count(*) FROM g_measure m WHERE station_key IS NOT NULL AND NOT EXISTS"
+        " (SELECT 1 FROM g_station s WHERE s.station_key = m.station_key)",
+    }
+    cases = " ".join(f"WHEN {seq} THEN ({sql})" for seq, sql in counts.items())
+    return _with(
+        parts + "," + _RULES + f", counted AS (SELECT *, CASE seq {cases} ELSE {missing} END AS violations FROM rules)",
+        """SELECT seq, layer, "check", violations, violations = 0 AS ok FROM counted""",
+    )
+
+
+# What a run over all batches leaves, whose stations are known from batch `since` on.
+def _after_run(since: str) -> str:
+    return (
+        _ITEMS
+        + ","
+        + _STATIONS
+        + f""",
+landed AS (
+  SELECT 'station_search' AS dataset FROM supplier UNION ALL
+  SELECT 'readings_latest__' || replace(parameter, ' ', '_') || '__' || measure_id FROM mv
+), issues AS (
+  SELECT 'dataset name has fewer than three parts' AS issue FROM landed
+  WHERE starts_with(dataset, 'readings_latest__') AND len(string_split(dataset, '__')) < 3
+), errors AS (SELECT 1 WHERE FALSE),
+b_station AS (SELECT * FROM stations), s_station AS (SELECT * FROM stations),
+g_station AS (SELECT * FROM dimension),
+b_measure AS (SELECT * REPLACE (precise AS datetime) FROM items),
+s_measure AS (
+  SELECT * FROM (
+    SELECT * REPLACE (replace(precise, 'Z', '+00:00') AS datetime, lower(parameter) AS parameter),
+      row_number() OVER (PARTITION BY measure_id, replace(precise, 'Z', '+00:00'), ingested_at
+                         ORDER BY event_id, pos) AS rn
+    FROM items WHERE station_id IN (SELECT station_id FROM stations) AND ingested_at >= {since}
+  ) WHERE rn = 1
+), g_measure AS (
+  SELECT * FROM s_measure LEFT JOIN dimension USING (station_id)
+)"""
+    )
+
+
+# Stations that arrive with one batch and once more with another.
+_HISTORY = (
+    _MV
+    + """,
+nths AS (
+  SELECT row_number() OVER (ORDER BY ingested_at) - 1 AS nth, ingested_at
+  FROM (SELECT DISTINCT ingested_at FROM mv)
+), arrivals AS (
+  SELECT 'S' || s_suppkey AS station_id, step || ' ' || s_name AS label, ingested_at, s_suppkey * 10 + step AS id
+  FROM supplier, (SELECT unnest([1, 7]) AS step), nths
+  WHERE nth = ((s_suppkey - 1) * step) % (SELECT count(*) FROM nths)
+), known AS (
+  SELECT station_id, min(ingested_at) AS since, arg_max(label, (ingested_at, id)) AS label,
+         max(ingested_at) AS ingested_at
+  FROM arrivals GROUP BY station_id
+), keyed AS (
+  SELECT *, row_number() OVER (ORDER BY since, station_id) AS station_key FROM known
+)"""
+)
+_HISTORY_SQL = {
+    "stations": _with(_HISTORY, "SELECT station_key, station_id, label, ingested_at FROM keyed"),
+    "facts": _with(
+        _HISTORY,
+        """SELECT row_number() OVER (ORDER BY mv.ingested_at, measure_id, moment) AS measurement_key,
+          station_key, mv.station_id, lower(parameter) AS parameter, unit, measure_id,
+          moment AS datetime, value, CASE WHEN event_id % 2 = 0 THEN 'Good' END AS quality,
+          CASE WHEN event_id % 3 = 0 THEN 'Complete' END AS completeness, mv.ingested_at
+        FROM (SELECT *, replace(precise, 'Z', '+00:00') AS moment FROM mv) mv
+        JOIN keyed ON keyed.station_id = mv.station_id AND since <= mv.ingested_at""",
+    ),
+}
+
 # Queries over all batches, and over all customers.
 SQL |= {
     "fk_check_all": """
@@ -509,9 +643,94 @@ SQL |= {
         WHERE CASE WHEN o_orderkey % 50 = 7 THEN -o_custkey ELSE o_custkey END
           NOT IN (SELECT c_custkey FROM customer)
         GROUP BY 1""",
-    "check_report_all": SQL["check_report"].replace(
-        "SELECT 1 FROM run_bronze GROUP BY measure_id, precise",
-        "SELECT 1 FROM items GROUP BY measure_id, precise, ingested_at",
+    "check_report": _report(_after_run("'2024-01-31T00:00:00+00:00'"), 3),
+    "check_report_all": _report(_after_run("''"), 3),
+    "check_report_planted": _report(
+        _SPOTTY
+        + ","
+        + _MIXED_ROWS
+        + ","
+        + _OFFERS
+        + """,
+landed AS (SELECT dataset FROM mixed),
+issues AS (
+  SELECT CASE event_id % 3 WHEN 0 THEN 'not a number, taken as NULL'
+         ELSE 'payload is not JSON' END AS issue FROM mv WHERE event_id % 3 < 2
+),
+errors AS (
+  SELECT 1 FROM supplier WHERE s_suppkey % 6 = 5 UNION ALL
+  SELECT 1 FROM supplier WHERE s_suppkey % 10 = 9
+),
+b_station AS (
+  SELECT s_suppkey AS station_key, 'S' || s_suppkey AS station_id,
+         CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS label,
+         '2024-01-31T00:00:00+00:00' AS ingested_at FROM supplier
+),
+s_station AS (
+  SELECT station_id, CASE WHEN station_key % 9 <> 0 THEN ingested_at END AS ingested_at FROM b_station
+),
+g_station AS (SELECT * FROM b_station),
+b_measure AS (
+  SELECT * REPLACE (CASE WHEN event_id % 23 = 0 THEN '2024-02-30' ELSE datetime END AS datetime),
+         CASE WHEN event_id % 11 <> 0 THEN event_id % 150 END AS station_key FROM spotty
+),
+s_measure AS (SELECT * FROM b_measure), g_measure AS (SELECT * FROM b_measure)""",
+        1_000_000_000,
+    ),
+    "check_report_bare": _report(
+        _MV
+        + """,
+landed AS (SELECT 'rainfall' AS dataset FROM mv),
+issues AS (SELECT '' AS issue WHERE FALSE), errors AS (SELECT 1 WHERE FALSE),
+b_station AS (SELECT NULL AS station_id, NULL AS label, NULL AS ingested_at, 1 AS station_key WHERE FALSE),
+s_station AS (SELECT * FROM b_station), g_station AS (SELECT * FROM b_station),
+b_measure AS (SELECT *, 1 AS station_key FROM mv WHERE FALSE),
+s_measure AS (SELECT * FROM b_measure), g_measure AS (SELECT * FROM b_measure)""",
+        3,
+        missing=1,
+    ),
+    "land_bulk": _with(
+        _ITEMS
+        + """, stamps AS (
+          SELECT unnest(['2024-02-01T00:00:00+00:00', '2024-02-02T00:00:00+00:00']) AS stamp,
+                 unnest([0, 1]) AS nth)""",
+        """SELECT stamp AS ingested_at,
+          'readings_latest__' || replace(parameter, ' ', '_') || '__' || measure_id AS dataset,
+          count(DISTINCT event_id) AS payloads,
+          count(*) + count(DISTINCT event_id) FILTER (event_id % 4 = 0) AS items,
+          1 + nth * (SELECT count(*) FROM mv) AS first_id, TRUE AS dense
+        FROM items CROSS JOIN stamps GROUP BY stamp, nth, parameter, measure_id""",
+    ),
+    "drop_datasets": _with(
+        _MIXED,
+        """SELECT ingested_at, CASE WHEN dataset ILIKE 'readings_latest%' THEN 'readings'
+          ELSE 'other' END AS kind, count(*) AS payloads
+        FROM mixed WHERE dataset <> 'station_search' AND dataset NOT ILIKE 'rainfall%mgl'
+        GROUP BY 1, 2""",
+    ),
+    "land_files": """
+        SELECT row_number() OVER (ORDER BY dataset) AS id, dataset, payload,
+          '2024-01-31T00:00:00+00:00' AS ingested_at
+        FROM (SELECT 'rainfall ' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS dataset,
+          '{"items":[' || string_agg(s_suppkey, ',' ORDER BY s_suppkey) || ']}' || chr(10) AS payload
+          FROM supplier GROUP BY 1)""",
+    "migrate_landing": _with(
+        _MIXED,
+        """SELECT id, dataset, CASE WHEN id % 2 = 1 AND id % 3 <> 0 THEN ingested_at
+          ELSE '2023-12-31T00:00:00+00:00' END AS ingested_at FROM mixed
+        UNION ALL SELECT max(id) + 1, 'after', '2024-01-31T00:00:00+00:00' FROM mixed""",
+    ),
+    "batch_without_readings": _with(
+        _MV,
+        """SELECT ingested_at, count(*) AS measure_inserts,
+          count(*) FILTER (known) AS silver_measure_inserts,
+          count(*) FILTER (known) AS fact_measurement_inserts,
+          CASE WHEN ingested_at = min(ingested_at) OVER ()
+            THEN (SELECT count(*) FROM supplier) ELSE 0 END AS dim_station_upserts
+        FROM (SELECT *, station_id IN (SELECT 'S' || s_suppkey FROM supplier) AS known FROM mv)
+        GROUP BY 1
+        UNION ALL SELECT max(ingested_at)[1:10] || 'T12:00:00+00:00', 0, 0, 0,
+          (SELECT count(*) FROM supplier) FROM mv""",
     ),
     "run_gated": _with(
         _MV,
@@ -521,6 +740,8 @@ SQL |= {
         FROM (SELECT *, station_id IN (SELECT 'S' || s_suppkey FROM supplier) AS known FROM mv)
         GROUP BY 1""",
     ),
+    "history_facts": _HISTORY_SQL["facts"],
+    "history_stations": _HISTORY_SQL["stations"],
     "bronze_append": _with(
         _ITEMS,
         """SELECT event_id AS landing_id, CAST(pos AS BIGINT) AS pos, station_id, parameter, unit,

@@ -1,4 +1,4 @@
-"""One query per operator, each over whole tables."""
+"""One query per operator, each over its whole tables."""
 
 from __future__ import annotations
 
@@ -30,10 +30,8 @@ def _stations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dimension(spark: SparkSession, sf: str) -> DataFrame:
-    merged = conform.merge_dimension(
-        schemas.empty(spark, schemas.DIM_STATION), _stations(spark, sf)
-    )
-    return keys.assign_keys(merged, "station_key", conform.STATION_KEY)
+    nothing = schemas.empty(spark, schemas.DIM_STATION)
+    return conform.merge_dimension(nothing, _written(_stations(spark, sf), "stations"))
 
 
 def _silver(spark: SparkSession, sf: str, stations: DataFrame | None = None) -> DataFrame:
@@ -167,8 +165,75 @@ def route_datasets(spark: SparkSession, sf: str) -> DataFrame:
     return stations.unionByName(readings)
 
 
+def _warehouse(spark: SparkSession) -> Warehouse:
+    return Warehouse(spark, scratch_path(spark, "warehouse"))
+
+
 def overwrite_landing(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.survivors(_mixed_landing(spark, sf))
+    """What a run that overwrites leaves of the landing, and the document it lands."""
+    warehouse = _warehouse(spark)
+    rows = _mixed_landing(spark, sf).withColumn("payload", F.lit("{}"))
+    warehouse.append(LANDING, rows.hint("rebalance", "ingested_at"))
+    warehouse.reserve(LANDING, rows.agg(F.max("id")).first()[0])
+    one = spark.range(1).select(F.lit(text.STATION_DATASET).alias("dataset"), F.lit("{}").alias("payload"))
+    landing_source.land_payloads(warehouse, one, ["dataset"], STATION_STAMP, append=False)
+    return warehouse.read(LANDING).drop("payload")
+
+
+def drop_datasets(spark: SparkSession, sf: str) -> DataFrame:
+    """The landing without some datasets, by name and by pattern; counts as they are kept."""
+    warehouse = _warehouse(spark)
+    rows = _mixed_landing(spark, sf).withColumn("payload", F.lit("{}"))
+    warehouse.append(LANDING, rows.hint("rebalance", "ingested_at"))
+    landing_source.drop_datasets(warehouse, [text.STATION_DATASET], "RAINFALL%mgl")
+    return warehouse.landed_counts()
+
+
+def land_bulk(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads landed in bulk, in two batches; whether their ids are dense, by batch."""
+    warehouse = _warehouse(spark)
+    rows = views.readings_landing(views.readings(spark, sf))
+    for stamp in ("2024-02-01T00:00:00+00:00", "2024-02-02T00:00:00+00:00"):
+        landing_source.land_payloads(warehouse, rows, ingested_at=stamp)
+    landed = warehouse.read(LANDING)
+    dense = (F.count_distinct("id") == F.count("*")) & (
+        F.max("id") - F.min("id") + 1 == F.count("*")
+    )
+    ids = landed.groupBy("ingested_at").agg(F.min("id").alias("first_id"), dense.alias("dense"))
+    payloads = landed.groupBy("ingested_at", "dataset").agg(
+        F.count("*").alias("payloads"),
+        F.sum(F.size(F.from_json("payload", schemas.RAW_ITEMS_DOC)["items"])).alias("items"),
+    )
+    return payloads.join(ids, "ingested_at")
+
+
+def land_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of payload files, one for each supplier and nation, landed in path order."""
+    warehouse, folder = _warehouse(spark), scratch_path(spark, "files")
+    suppliers = table(spark, sf, "supplier")
+    name = F.concat(F.lit("rainfall "), F.lpad(F.col("s_nationkey").cast("string"), 3, "0"))
+    documents = suppliers.groupBy(name.alias("dataset")).agg(
+        F.concat(
+            F.lit('{"items":['), F.array_join(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda x: x.cast("string")), ","), F.lit("]}")
+        ).alias("payload")
+    )
+    views.write_files(documents, folder)
+    landing_source.land_files(warehouse, folder, STATION_STAMP)
+    return warehouse.read(LANDING)
+
+
+def migrate_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two older layouts, without stamps and with gaps, taken in once; then a new row."""
+    warehouse, folder = _warehouse(spark), scratch_path(spark, "older")
+    rows = _mixed_landing(spark, sf).withColumn("payload", F.lit("{}"))
+    odd = F.col("id") % 2 == 1
+    rows.filter(~odd).drop("ingested_at").write.parquet(f"{folder}/a")
+    gaps = F.when(F.col("id") % 3 != 0, F.col("ingested_at"))
+    rows.filter(odd).withColumn("ingested_at", gaps).write.parquet(f"{folder}/b")
+    for _ in range(2):
+        landing_source.migrate_landing(warehouse, f"{folder}/*", "2023-12-31T00:00:00Z")
+    landing_source.land_payload(warehouse, "after", "{}", STATION_STAMP)
+    return warehouse.read(LANDING).drop("payload")
 
 
 def append_landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -268,12 +333,10 @@ def dim_stable_keys(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_custkey", *ORDER, "o_totalprice")
     early = F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz")
     first = merge.last_per_key(orders.filter(early), ["o_custkey"], ORDER)
-    known = keys.assign_keys(first, "customer_key", ["o_custkey"])
+    known = _written(keys.assign_keys(first, "customer_key", ["o_custkey"]), "known")
     used = known.agg(F.max("customer_key")).first()[0] or 0
-    merged = merge.upsert(
-        known, orders.filter(~early), ["o_custkey"], ORDER, keep=("customer_key",)
-    )
-    return keys.assign_keys(merged, "customer_key", ["o_custkey"], used)
+    late = _written(merge.last_per_key(orders.filter(~early), ["o_custkey"], ORDER), "late")
+    return keys.upsert_keyed(known, late, ["o_custkey"], "customer_key", ["o_custkey"], used)
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,9 +384,9 @@ def orphan_measures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fk_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders whose customer is not in the dimension, by status."""
-    customers = table(spark, sf, "customer").filter(F.col("c_nationkey") < 20)
-    dimension = customers.select(F.col("c_custkey").alias("o_custkey"))
+    """Orders whose customer is not in the dimension, by status; some nations' are under another key."""
+    key = F.when(F.col("c_nationkey") < 20, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    dimension = table(spark, sf, "customer").select(key.alias("o_custkey"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     lost = lookup.orphans(orders, dimension, "o_custkey")
     return lost.groupBy("o_orderstatus").agg(F.count("*").alias("violations"))
@@ -377,7 +440,7 @@ def iso_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_issues(spark: SparkSession, sf: str) -> DataFrame:
-    """Defects planted by event id: cut text, short name, nested or non-numeric fields."""
+    """Defects planted by id: in readings, in station documents, in ignored datasets."""
     event_id, payload = F.col("id"), F.col("payload")
     broken = (
         F.when(event_id % 40 == 1, F.substring(payload, 1, 20))
@@ -388,33 +451,63 @@ def document_issues(spark: SparkSession, sf: str) -> DataFrame:
         .when(event_id % 40 == 6, F.lit('{"items":{}}'))
         .when(event_id % 40 == 7, F.lit("[1, 2]"))
         .when(event_id % 40 == 9, F.lit('{"items":[{"dateTime":"2024-01-01","quality":"[1]"}]}'))
+        .when(event_id % 40 == 10, F.lit('{"items":[{"value":'))
+        .when(event_id % 40 == 11, F.lit("[1, 2]"))
         .otherwise(payload)
     )
-    name = F.when(event_id % 40 == 8, F.lit("readings_latest__short")).otherwise(F.col("dataset"))
+    name = (
+        F.when(event_id % 40 == 8, F.lit("readings_latest__short"))
+        .when(event_id % 40 == 10, F.lit("rainfall"))
+        .when(event_id % 40 == 11, F.lit("Readings_Latest__a__b"))
+        .otherwise(F.col("dataset"))
+    )
     landed = views.readings_landing(views.readings(spark, sf)).withColumns(
         {"payload": broken, "dataset": name}
     )
-    return flatten.document_issues(landed)
+    return flatten.document_issues(landed.unionByName(_odd_stations(spark, sf)))
+
+
+def _odd_stations(spark: SparkSession, sf: str) -> DataFrame:
+    """Station documents whose status has every shape, one of them without a notation."""
+    shapes = [
+        '"Active"', '["Active"]', '[{"label":["x"]}]', '[{"label":"Active"},3]', "[null]", "[]",
+        '"[1]"', "{}", '[{"label":{"a":1}}]', '[{"label":5}]',
+    ]
+    status = F.get(F.array(*[F.lit(x) for x in shapes]), (F.col("s_suppkey") % 10).cast("int"))
+    notation = F.when(F.col("s_suppkey") % 7 == 0, F.lit("")).otherwise(F.col("s_name"))
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.lit(text.STATION_DATASET).alias("dataset"),
+        F.concat(
+            F.lit('{"items":[{"notation":"'), notation, F.lit('","status":'), status, F.lit("}]}")
+        ).alias("payload"),
+        F.lit(STATION_STAMP).alias("ingested_at"),
+    )
 
 
-def _refined(spark: SparkSession, sf: str) -> tuple[Warehouse, dict[str, object]]:
-    """All batches landed in a fresh warehouse, the newest one refined."""
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+def _refined(spark: SparkSession, sf: str) -> tuple[Warehouse, list[dict[str, object]]]:
+    """All batches landed in a fresh warehouse, the stations with the newest; all refined."""
+    warehouse = _warehouse(spark)
     readings = views.readings_landing(views.readings(spark, sf, precise=True))
     stations = views.station_landing(spark, sf)
     ids = F.col("id") + stations.count()
     landed = stations.unionByName(readings.withColumn("id", ids))
     warehouse.append(LANDING, landed.hint("rebalance", "ingested_at"))
-    return warehouse, run.refine_newest(warehouse, len(REQUESTED), gate=False)
+    return warehouse, run.refine_all(warehouse, len(REQUESTED), gate=False)
 
 
-def pipeline_summary(spark: SparkSession, sf: str) -> DataFrame:
-    _, summary = _refined(spark, sf)
-    names = sorted(summary)
+def _summaries(spark: SparkSession, summaries: list[dict[str, object]], names: list[str]) -> DataFrame:
+    """One row for each batch."""
     kinds = ", ".join(
-        f"{name} {'string' if isinstance(summary[name], str) else 'bigint'}" for name in names
+        f"{name} {'string' if name in ('status', 'ingested_at') else 'bigint'}" for name in names
     )
-    return spark.createDataFrame([tuple(summary[name] for name in names)], kinds)
+    return spark.createDataFrame([tuple(s[name] for name in names) for s in summaries], kinds)
+
+
+def pipeline_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What the layers have written of each batch."""
+    _, summaries = _refined(spark, sf)
+    return _summaries(spark, summaries, sorted(summaries[0]))
 
 
 def check_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -423,14 +516,62 @@ def check_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipeline_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """The fact table after the newest batch has gone through all layers."""
+    """The fact table after all batches; the stations are known from the newest one on."""
     warehouse, _ = _refined(spark, sf)
     return warehouse.read("fact_measurement")
 
 
+def _history(spark: SparkSession, sf: str) -> Warehouse:
+    """Stations that arrive with a batch of their own, and once more with another; all refined."""
+    warehouse = _warehouse(spark)
+    readings = views.readings_landing(views.readings(spark, sf, precise=True), False)
+    nth = views.batch_numbers(spark, sf)
+    documents = views.station_landing(spark, sf, False).drop("ingested_at")
+    twice = documents.select("*", F.explode(F.array(F.lit(1), F.lit(7))).alias("step"))
+    placed = twice.withColumn("nth", ((F.col("id") - 1) * F.col("step")) % nth.count())
+    changed = F.regexp_replace("payload", '"label":"', F.concat(F.lit('"label":"'), F.col("step"), F.lit(" ")))
+    stations = placed.join(nth, "nth").select(
+        (F.col("id") * 10 + F.col("step")).alias("id"), "dataset", changed.alias("payload"), "ingested_at"
+    )
+    ids = F.col("id") + 10 * documents.count() + 10
+    landed = stations.unionByName(readings.withColumn("id", ids))
+    warehouse.append(LANDING, landed.hint("rebalance", "ingested_at"))
+    run.refine_all(warehouse, len(REQUESTED), gate=False)
+    return warehouse
+
+
+def history_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of all batches, whose readings find the stations known by then."""
+    return _history(spark, sf).read("fact_measurement")
+
+
+def history_stations(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension: keys by first batch, the rest by the last."""
+    return _history(spark, sf).read("dim_station").select(
+        "station_key", "station_id", "label", "ingested_at"
+    )
+
+
+def batch_without_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Gated runs of all batches, and of one more whose documents hold no readings."""
+    warehouse = _all_landed(spark, sf, again=False)
+    summaries = run.refine_all(warehouse, len(REQUESTED))
+    last = max(s["ingested_at"] for s in summaries)[:10] + "T12:00:00+00:00"
+    empty = views.readings_landing(views.readings(spark, sf)).select(
+        "dataset", F.lit('{"items":[]}').alias("payload")
+    )
+    station = views.station_landing(spark, sf, False).select("dataset", "payload")
+    landing_source.land_payloads(warehouse, station.unionByName(empty), ingested_at=last)
+    newest = run.refine_newest(warehouse, len(REQUESTED))
+    return _summaries(spark, [*summaries, newest], _INSERTS + ["dim_station_upserts"])
+
+
+_INSERTS = ["ingested_at", "measure_inserts", "silver_measure_inserts", "fact_measurement_inserts"]
+
+
 def _all_landed(spark: SparkSession, sf: str, again: bool) -> Warehouse:
     """All batches landed in a fresh warehouse, the stations with the first one."""
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse = _warehouse(spark)
     readings = views.readings_landing(views.readings(spark, sf, precise=True), again)
     first = readings.agg(F.min("ingested_at")).first()[0]
     stations = views.station_landing(spark, sf, again).withColumn("ingested_at", F.lit(first))
@@ -450,15 +591,69 @@ def check_report_all(spark: SparkSession, sf: str) -> DataFrame:
 def run_gated(spark: SparkSession, sf: str) -> DataFrame:
     """Every batch, without defects, through all layers and their gates; a row for each."""
     warehouse = _all_landed(spark, sf, again=False)
-    summaries = run.refine_all(warehouse, len(REQUESTED))
-    names = ["ingested_at", "measure_inserts", "silver_measure_inserts", "fact_measurement_inserts"]
-    kinds = "ingested_at string, " + ", ".join(f"{name} bigint" for name in names[1:])
-    return spark.createDataFrame([tuple(s[name] for name in names) for s in summaries], kinds)
+    return _summaries(spark, run.refine_all(warehouse, len(REQUESTED)), _INSERTS)
+
+
+def check_report_planted(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules over tables with defects that the layers would not let in."""
+    warehouse = _warehouse(spark)
+    rows = _mixed_landing(spark, sf).withColumn("payload", F.lit("{}"))
+    warehouse.append(LANDING, rows.hint("rebalance", "ingested_at"))
+    suppliers, key = table(spark, sf, "supplier"), F.col("s_suppkey")
+    empty = schemas.empty(spark, schemas.DIM_STATION)
+
+    def stations(station_id, label, stamp) -> DataFrame:
+        own = suppliers.select(
+            key.alias("station_key"), station_id.alias("station_id"),
+            label.alias("label"), stamp.alias("ingested_at"),
+        )
+        return empty.unionByName(own, allowMissingColumns=True)
+
+    name, stamp = F.concat(F.lit("S"), key), F.lit(STATION_STAMP)
+    bronze = stations(name, F.when(key % 7 != 0, F.col("s_name")), stamp)
+    warehouse.replace("bronze_station", bronze)
+    warehouse.replace(
+        "silver_station", stations(name, F.lit(None).cast("string"), F.when(key % 9 != 0, stamp))
+    )
+    warehouse.replace("dim_station", bronze)
+    event = F.col("event_id")
+    measures = _spotty(spark, sf).withColumns(
+        {
+            "landing_id": event,
+            "pos": F.lit(0).cast("bigint"),
+            "datetime": F.when(event % 23 == 0, F.lit("2024-02-30")).otherwise(F.col("datetime")),
+            "quality": F.lit(None).cast("string"),
+            "completeness": F.lit(None).cast("string"),
+            "measurement_key": event,
+            "station_key": F.when(event % 11 != 0, event % 150),
+        }
+    ).hint("rebalance", "ingested_at")
+    for layer in ("bronze_measure", "silver_measure", "fact_measurement"):
+        warehouse.append(layer, measures)
+    issue = F.when(event % 3 == 0, F.lit(flatten.NOT_NUMERIC)).when(event % 3 == 1, F.lit(flatten.NOT_JSON))
+    issues = views.readings(spark, sf).select(
+        event.alias("landing_id"), F.col("measure_id").alias("dataset"), F.lit(None).cast("bigint").alias("pos"),
+        issue.alias("issue"), F.lit(None).cast("string").alias("detail"), "ingested_at",
+    )
+    warehouse.append("quarantine", issues.filter(F.col("issue").isNotNull()).hint("rebalance", "ingested_at"))
+    errors = lookup.request_errors(_catalogue(spark, sf), REQUESTED).withColumns(
+        {"nth": F.col("nth").cast("bigint"), "ingested_at": stamp}
+    )
+    warehouse.append("request_errors", errors)
+    return run.full_report(warehouse, 1_000_000_000)
+
+
+def check_report_bare(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules where only ignored datasets have landed and no layer has run."""
+    warehouse = _warehouse(spark)
+    rows = views.readings_landing(views.readings(spark, sf)).withColumn("dataset", F.lit("rainfall"))
+    landing_source.land_payloads(warehouse, rows, ingested_at=STATION_STAMP)
+    return run.full_report(warehouse, len(REQUESTED))
 
 
 def bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     """The bronze readings after the newest batch has been opened twice without replacing."""
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse = _warehouse(spark)
     readings = views.readings_landing(views.readings(spark, sf))
     warehouse.append(LANDING, readings.hint("rebalance", "ingested_at"))
     for _ in range(2):
@@ -468,7 +663,7 @@ def bronze_append(spark: SparkSession, sf: str) -> DataFrame:
 
 def land_run(spark: SparkSession, sf: str) -> DataFrame:
     """Search, check the request, land the newest readings per measure; what is in the landing then."""
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse = _warehouse(spark)
     mv = views.readings(spark, sf).select(
         "measure_id",
         F.col("datetime").alias("dateTime"),
@@ -537,4 +732,13 @@ ALL = [
     check_report_all,
     run_gated,
     bronze_append,
+    drop_datasets,
+    land_bulk,
+    land_files,
+    migrate_landing,
+    history_facts,
+    history_stations,
+    batch_without_readings,
+    check_report_planted,
+    check_report_bare,
 ]

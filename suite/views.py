@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_files(documents: DataFrame, folder: str) -> None:
+    """(dataset, payload) as one file <dataset>.json each, below a folder of that name."""
+    spark = documents.sparkSession
+    documents.write.partitionBy("dataset").text(folder)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    store = top.getFileSystem(conf)
+    for row in documents.select("dataset").distinct().collect():
+        (written,) = store.globStatus(jvm.org.apache.hadoop.fs.Path(top, f"dataset={row[0]}/part-*"))
+        store.rename(written.getPath(), jvm.org.apache.hadoop.fs.Path(top, f"{row[0]}.json"))
+
+
 def readings(spark: SparkSession, sf_dir: str, precise: bool = False) -> DataFrame:
     """One reading per event; by the hour, so that some coincide, or to the microsecond."""
     unit = f"if(event_id % 2 = 0, '{UNITS[0]}', '{UNITS[1]}')"
@@ -42,6 +54,13 @@ def readings(spark: SparkSession, sf_dir: str, precise: bool = False) -> DataFra
     )
 
 
+def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nth, ingested_at: the batches of the readings, numbered from 0."""
+    stamps = readings(spark, sf_dir).select("ingested_at").distinct()
+    found = sorted(row[0] for row in stamps.collect())  # one for each day
+    return spark.createDataFrame(list(enumerate(found)), "nth bigint, ingested_at string")
+
+
 def readings_landing(mv: DataFrame, again: bool = True) -> DataFrame:
     """One payload per reading, with up to three items.
 
