@@ -46,6 +46,7 @@ PENDING = 400_000  # coordinates a task holds before it sums them up
 BITS = 26
 SLICE_BYTES = 1 << 20  # of text, worked on at a time
 SALTS = 16
+GATHER = 4  # splits of text that one task counts pairs over, so that it sums up more of them
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -312,6 +313,13 @@ def _count_pairs(levels, seed: int):
     return run
 
 
+def _gathered(texts: DataFrame) -> DataFrame:
+    """Fewer and larger partitions, but two for each core at least; nothing is shuffled."""
+    last = texts.agg(F.max(F.spark_partition_id())).first()[0] or 0  # reads no text
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.coalesce(max(2 * cores, -(-(last + 1) // GATHER)))
+
+
 def _frequent_phrases(
     texts: DataFrame, vocabulary: DataFrame, seed: int, scratch: Scratch, least: int, longest: int
 ) -> list[DataFrame]:
@@ -321,11 +329,12 @@ def _frequent_phrases(
         F.col("id").alias("hash"), F.col("id").alias("w1"), "n"
     )
     levels, found = [], []
+    gathered = _gathered(texts)
     for size in range(1, longest):
         levels.append(context.broadcast(_units(units, size, HEAD, BITS)))  # of fixed size
         ids = [f"w{i + 1}" for i in range(size + 1)]
         schema = ", ".join(f"{name} long" for name in ["hash", *ids, "n"])
-        rows = texts.mapInArrow(_count_pairs(list(levels), seed), schema)
+        rows = gathered.mapInArrow(_count_pairs(list(levels), seed), schema)
         counted = rows.groupBy("hash", *ids).agg(F.sum("n").alias("n"))
         units = scratch.write(counted.where(F.col("n") >= least), f"phrases-{size + 1}")
         found.append(units)
@@ -440,9 +449,12 @@ def mine(
         part = rows.select(_words(rows).alias("ws"), F.col("n").alias("a"))
         candidates = part if candidates is None else candidates.unionAll(part)
     scored = _scored(candidates, _parts(vocabulary, phrases, least), cover)
-    # rank() keeps ties beyond the last place, which the phrases decide below
-    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    ranked = scored.withColumn("rank", F.rank().over(first)).where(F.col("rank") <= top)
+    # rank() keeps ties beyond the last place, which the phrases decide below; first within
+    # parts of a language, so that no task meets more than those leave
+    ranked = scored.withColumn("part", F.pmod(F.xxhash64("ws"), F.lit(4 * SALTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        place = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a")))
+        ranked = ranked.withColumn("rank", place).where(F.col("rank") <= top)
     spelled = (
         ranked.select("*", F.posexplode("ws").alias("pos", "id"))
         .join(vocabulary.select("id", "word"), "id")
