@@ -315,7 +315,8 @@ def _count_pairs(levels, seed: int):
 
 def _gathered(texts: DataFrame) -> DataFrame:
     """Fewer and larger partitions, but two for each core at least; nothing is shuffled."""
-    last = texts.agg(F.max(F.spark_partition_id())).first()[0] or 0  # reads no text
+    places = texts.select(F.spark_partition_id().alias("place"))  # reads no text
+    last = places.agg(F.max("place")).first()[0] or 0
     cores = texts.sparkSession.sparkContext.defaultParallelism
     return texts.coalesce(max(2 * cores, -(-(last + 1) // GATHER)))
 
