@@ -48,11 +48,16 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 
 
 def flagship_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed JSON to facts: flatten, conform, first per key, station key lookup."""
-    dimension = _dimension(spark, sf)
-    silver = _silver(spark, sf, dimension)
-    facts = lookup.attach(silver, dimension, "station_id", "station_key")
-    return facts.drop("landing_id", "pos")
+    """Landed JSON to facts: flatten, station key lookup, conform, first per reading key."""
+    keyed = lookup.attach(_bronze(spark, sf), _dimension(spark, sf), "station_id", "station_key")
+    first = merge.insert_if_absent(
+        conform.conform_measures(keyed),
+        schemas.empty(spark, schemas.MEASURE),
+        conform.READING_KEY,
+        conform.ARRIVAL,
+        conform.REQUIRED,
+    )
+    return first.drop("landing_id", "pos")
 
 
 def flatten_readings(spark: SparkSession, sf: str) -> DataFrame:
