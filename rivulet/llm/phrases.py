@@ -46,7 +46,7 @@ PENDING = 400_000  # coordinates a task holds before it sums them up
 BITS = 26
 SLICE_BYTES = 1 << 20  # of text, worked on at a time
 SALTS = 16
-GATHER = 4  # splits of text that one task counts pairs over, so that it sums up more of them
+GATHER = 4  # splits of text that one task counts the longer phrases over, which are few
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -335,7 +335,8 @@ def _frequent_phrases(
         levels.append(context.broadcast(_units(units, size, HEAD, BITS)))  # of fixed size
         ids = [f"w{i + 1}" for i in range(size + 1)]
         schema = ", ".join(f"{name} long" for name in ["hash", *ids, "n"])
-        rows = gathered.mapInArrow(_count_pairs(list(levels), seed), schema)
+        part = texts if size < 3 else gathered
+        rows = part.mapInArrow(_count_pairs(list(levels), seed), schema)
         counted = rows.groupBy("hash", *ids).agg(F.sum("n").alias("n"))
         units = scratch.write(counted.where(F.col("n") >= least), f"phrases-{size + 1}")
         found.append(units)
