@@ -7,13 +7,18 @@ distinct piece once, and puts the ids together. The shortcut is taken only for t
 layouts of tokenizer files named below and for texts of Latin letters, where the
 pattern's letter classes are beyond doubt; every other text, any text that holds a
 special token's string, and any other tokenizer file go to the library whole.
+
+What is known of the pieces is one array of ids with each piece's place in it, so the ids
+of a batch of texts are gathered by index.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -54,6 +59,28 @@ _FOLDED = {
 _UNSURE = regex.compile("[\x1c-\x1f\x85İɐ-\U0010ffff]")
 
 
+def _class(kind: str) -> str:
+    """The characters of a class among those of texts that are cut here, for a set in `re`.
+
+    Some of them have a lower case beyond.
+    """
+    found = {c for code in range(0x250) for c in chr(code) + chr(code).lower()}
+    return "".join(re.escape(c) for c in sorted(found) if regex.fullmatch(kind, c))
+
+
+@lru_cache(maxsize=2)
+def _spelled(pattern: str) -> re.Pattern:
+    """The pattern with its letter classes spelled out, which `re` searches faster."""
+    for kind in (r"\p{L}", r"\p{N}"):
+        inside = _class(kind)
+        pattern = re.sub(  # inside a set the characters, elsewhere a set of them
+            r"\[[^]]*\]|" + re.escape(kind),
+            lambda m: f"[{inside}]" if m[0] == kind else m[0].replace(kind, inside),
+            pattern,
+        )
+    return re.compile(pattern)
+
+
 def path(name: str) -> str:
     """Where a file of the public tokenizers is on this machine."""
     import public_tokenizers
@@ -70,7 +97,7 @@ def encoder(file: str) -> "Encoder":
 class Encoder:
     """Ids of texts under one tokenizer file; remembers a bounded number of pieces."""
 
-    def __init__(self, file: str, most: int = 600_000):
+    def __init__(self, file: str, most: int = 1_000_000, chars: int = 32_000_000):
         from tokenizers import Tokenizer
 
         with open(file, encoding="utf-8") as source:
@@ -85,9 +112,16 @@ class Encoder:
         head = {k: layout[k] for k in ("normalizer", "pre_tokenizer")}
         self.fold = head == _FOLDED
         self.fast = (self.fold or head == _PLAIN) and layout["model"].get("dropout") is None
-        self.pattern = regex.compile(WORD_PATTERN if self.fold else PATTERN)
-        self.most = most
-        self.known: dict[str, bytes] = {}
+        self.pattern = _spelled(WORD_PATTERN if self.fold else PATTERN)
+        self.most, self.chars = most, chars
+        self._forget()
+
+    def _forget(self) -> None:
+        """Piece k is known[...] = k and has ids[start[k] : start[k + 1]]."""
+        self.known: dict[str, int] = {}
+        self.held = 0  # characters of the known pieces
+        self.ids = np.empty(1 << 16, self.dtype)
+        self.start = np.zeros(1 << 14, np.int64)
 
     def sure(self, text: str) -> bool:
         """Whether the text may be cut into pieces here."""
@@ -102,38 +136,72 @@ class Encoder:
         """The ids of each text, little-endian; a null counts as empty."""
         texts = [t or "" for t in texts]
         cut = [self.pieces(t) if self.sure(t) else None for t in texts]
+        sizes = np.array([len(pieces or ()) for pieces in cut], np.int64)
+        which = self.numbers(list(chain.from_iterable(pieces or () for pieces in cut)))
+        first = self.start[which]
+        counts = self.start[which + 1] - first
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        found = self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])]
+        bounds = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         return [
-            self._whole(t) if pieces is None else b"".join(self.lookup(pieces))
-            for t, pieces in zip(texts, cut, strict=True)
+            self._whole(t) if pieces is None else found[low:high].tobytes()
+            for t, pieces, low, high in zip(texts, cut, bounds[:-1], bounds[1:], strict=True)
         ]
 
-    def lookup(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; the library is asked once for all that are new."""
-        known = self.known
-        try:
-            return [known[p] for p in pieces]
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list(dict.fromkeys(pieces))
-        apart = "" if not self.fold else " "
-        joint = [p for p in new if self.fold or _JOINT.match(p)]
-        for at in range(0, len(joint), 512):
-            part = joint[at : at + 512]
-            found = self.tokenizer.encode(apart.join(part), add_special_tokens=False)
-            ids, words = np.array(found.ids, self.dtype), np.array(found.word_ids, np.int64)
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(words)) + 1, [len(ids)])).tolist()
-            for p, low, high in zip(part, cuts[:-1], cuts[1:], strict=True):
-                known[p] = ids[low:high].tobytes()
-        for p in new:
-            if p not in known:
-                known[p] = self._whole(p)
-        out = [known[p] for p in pieces]
-        for p in new:
-            if len(p) > 64:  # rare, and large in memory
-                del known[p]
-        return out
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; the library is asked once for all that are new."""
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            new = {p for p, number in zip(pieces, found) if number is None}
+            if len(self.known) + len(new) > self.most or self.held > self.chars:
+                self._forget()
+                new = set(pieces)
+            self._learn(list(new))
+            found = list(map(self.known.__getitem__, pieces))
+        return np.array(found, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        if self.fold:
+            together, apart = {" ": new}, []
+        else:
+            # pieces that stay pieces one after the other, or with a line break between
+            spaced = [p for p in new if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+            bare = [p for p in new if not p[0].isspace()]
+            together, apart = {"": spaced, "\n": bare}, [p for p in new if p.isspace()]
+        for between, pieces in together.items():
+            for at in range(0, len(pieces), 512):
+                part = pieces[at : at + 512]
+                ids, counts = self._asked(part, between)
+                if len(counts) == len(part):
+                    self._keep(part, ids, counts)
+                else:
+                    apart += part
+        for piece in apart:
+            ids = np.frombuffer(self._whole(piece), self.dtype)
+            self._keep([piece], ids, np.array([len(ids)]))
+
+    def _asked(self, part: list[str], between: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pieces, and how many each has."""
+        found = self.tokenizer.encode(between.join(part), add_special_tokens=False)
+        ids, words = np.array(found.ids, self.dtype), np.array(found.word_ids, np.int64)
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(words)) + 1, [len(ids)]))
+        counts = np.diff(cuts)
+        if between == "\n":  # every other word is a line break
+            ids = ids[np.repeat(np.arange(len(counts)) % 2 == 0, counts)]
+            counts = counts[::2] if len(counts) == 2 * len(part) - 1 else counts[:0]
+        return ids, counts
+
+    def _keep(self, part: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n = len(self.known)
+        self.known.update(zip(part, range(n, n + len(part))))
+        self.held += sum(map(len, part))
+        if n + len(part) >= len(self.start):
+            self.start = np.resize(self.start, 2 * (n + len(part)))
+        end = self.start[n]
+        if end + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (end + len(ids)))
+        self.ids[end : end + len(ids)] = ids
+        self.start[n + 1 : n + 1 + len(part)] = end + np.cumsum(counts)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -147,8 +215,8 @@ class Encoder:
         if self.sure(text):
             pieces = self.pieces(text)
             ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-            ids = np.fromiter(map(len, self.lookup(pieces)), np.int64, len(pieces))
-            return ends, np.cumsum(ids) // self.dtype.itemsize
+            which = self.numbers(pieces)
+            return ends, np.cumsum(self.start[which + 1] - self.start[which])
         found = self.tokenizer.encode(text, add_special_tokens=False)
         if not found.ids:
             return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -158,6 +226,4 @@ class Encoder:
         return ends[last], np.flatnonzero(last) + 1
 
 
-#: Pieces that stay pieces when they stand one after the other.
-_JOINT = regex.compile(r" \S")
 _ASCII_UNSURE = regex.compile("[\x1c-\x1f]")
