@@ -106,21 +106,34 @@ class Scanner:
     def spans(self, text: str) -> tuple[list, list]:
         """Spans of the known forms, and all spans."""
         base = self.base(text)
-        more = []
+        more, covered, at = [], _covered(base), 0
         for m in RUN.finditer(text):
-            for start, end in _left(m.start(), m.end(), base):
+            while at < len(covered) and covered[at][1] <= m.start():
+                at += 1  # runs come in order, so what lies behind one lies behind the next
+            for start, end in _left(m.start(), m.end(), covered, at):
                 if self.random(text[start:end]):
                     more.append(("random", start, end))
         return base, _ordered(base + more) if more else base
 
 
-def _left(start: int, end: int, spans: list) -> Iterator[tuple[int, int]]:
-    """The stretches from start to end that none of the spans, ordered by start, covers."""
-    for _, a, b in spans:
-        if a < end and start < b:
-            if start < a:
-                yield start, a
-            start = b
+def _covered(spans: list) -> list[tuple[int, int]]:
+    """The stretches that spans, ordered by start, cover together; apart and in order."""
+    out: list[tuple[int, int]] = []
+    for _, start, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _left(start: int, end: int, covered: list, at: int) -> Iterator[tuple[int, int]]:
+    """What of a run is not covered; stretches ahead of `at` end before it."""
+    while at < len(covered) and covered[at][0] < end:
+        if start < covered[at][0]:
+            yield start, covered[at][0]
+        start = covered[at][1]
+        at += 1
     if start < end:
         yield start, end
 
