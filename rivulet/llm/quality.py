@@ -3,25 +3,28 @@
 Good documents are trusted positives; everything else, rejected or never looked at, is
 unlabelled. The classifier minimises the non-negative unbiased risk: with prior p of good
 documents, the loss of calling positives good, p R+(f), plus the loss of calling the
-unlabelled bad less that of calling positives bad, |R-(f) - p R+-(f)|. When the second
-part falls below zero the step is taken against it, so the model cannot learn the
-unlabelled sample by heart. The prior is estimated from the sample: a first classifier of
-positives against unlabelled rows gives every row a score, and the share of unlabelled
-rows above a score is at least the prior times the share of positives above it, so the
-smallest quotient of the two over the scores bounds the prior; what the trusted and the
-rejected rows say about their own shares is the other estimate, and the mean of both is
-taken.
+unlabelled bad less that of calling positives bad, |R-(f) - p R+-(f)|. With the logistic
+loss the unbiased risk is convex; a step that would take the second part below zero is
+shortened, so the model cannot learn the unlabelled documents by heart. The prior is
+estimated from positives and unlabelled documents alone: a first classifier of the one
+against the other gives every document a score, and the share of unlabelled documents above
+a score is at least the prior times the share of positives above it, so the smallest
+quotient of the two over the scores bounds the prior.
+
+The positives are at most SAMPLE labelled rows, the first by a hash of the id. Everything
+unlabelled counts over all documents that `learn` allows: the steps of the features, the
+shares above a score, and the gradient and value of the risk, each of them one aggregation
+over a written table of the documents' shapes. Both fits start from a sample of that table,
+whose curvature also scales their steps; they end where the gradient over all documents does.
 
 Features are numbers of a document's shape (case, marks, repetition, lengths of words and
 lines), computed over the whole text; labels, language, source and id are not among them.
-The unlabelled sample and the positives are at most SAMPLE rows each, the first by a hash
-of the id. Scoring is one pass over the documents with a few dozen broadcast numbers.
+Scoring is one pass over the documents with a few hundred broadcast numbers.
 
 Defined cases: a null or empty text has the shape of nothing: all features 0. Rows with a
-null label or id are not learned from. With no positives or no unlabelled rows every
-score is the share of good labels, or 0.5 without any. Null ids are held out of nothing
-(held_out null counts as false). Repeated rows are scored one by one; other columns are
-not read.
+null label or id are not learned from. Without positives every score is 0.5. Null ids are
+held out of nothing (held_out null counts as false). Repeated rows are unlabelled rows, and
+scored, one by one; a positive counts once. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,9 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.llm import features as X, words as W
+from rivulet.llm.scratch import Scratch
 
 SAMPLE = 10_000
 THRESHOLD = 0.3
+NEWTON = 12  # steps on the sample
+PASSES = 8  # over all documents, at most
+ENOUGH = 1e-4  # of the largest part of the gradient
 NAMES = (
     "log_words", "mean_word", "long_words", "upper", "digit", "mark", "odd_mark", "bar",
     "exclaim", "distinct", "repeat_next", "repeat_pair", "lines", "repeat_line",
@@ -135,101 +142,176 @@ def stepped(shape: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     )
 
 
-def _descend(gradient, size: int, steps: int = 400, rate: float = 0.05) -> np.ndarray:
-    """Adam over a full-batch gradient."""
-    w, m, v = (np.zeros(size, np.float32) for _ in range(3))
-    for t in range(1, steps + 1):
-        g = gradient(w).astype(np.float32)
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
+# --- risks: a part over unlabelled documents, a part over positives -----------
 
 
-def non_negative(positive: np.ndarray, unlabelled: np.ndarray, prior: float):
-    """Weights and bias of the least non-negative unbiased risk, with the logistic loss."""
-    ridge = 1e-3 + 2 / len(positive)  # few rows are learned by heart sooner
-    p = np.column_stack([positive, np.ones(len(positive), np.float32)])
-    u = np.column_stack([unlabelled, np.ones(len(unlabelled), np.float32)])
-
-    def gradient(w: np.ndarray) -> np.ndarray:
-        good, bad = X.sigmoid(p @ w), X.sigmoid(u @ w)
-        called_good = prior * (p.T @ (good - 1)) / len(p)
-        rest = (u.T @ bad) / len(u) - prior * (p.T @ good) / len(p)
-        zp, zu = np.clip(p @ w, -30, 30), np.clip(u @ w, -30, 30)
-        risk = np.log1p(np.exp(zu)).mean() - prior * np.log1p(np.exp(zp)).mean()
-        step = called_good + (rest if risk >= 0 else -rest)
-        return step + ridge * np.append(w[:-1], 0)
-
-    w = _descend(gradient, p.shape[1])
-    return w[:-1], float(w[-1])
-
-
-def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """An upper bound on the share of positives among the unlabelled, from their scores."""
-    x = np.vstack([positive, unlabelled])
-    y = np.repeat([1.0, 0.0], [len(positive), len(unlabelled)])
-    weight = np.where(y > 0, 0.5 / len(positive), 0.5 / len(unlabelled))
-    x1 = np.column_stack([x, np.ones(len(x), np.float32)])
-    w = _descend(
-        lambda w: x1.T @ (weight * (X.sigmoid(x1 @ w) - y)) + 1e-3 * np.append(w[:-1], 0),
-        x1.shape[1],
-        200,
-    )
-    scores = x1 @ w
-    p, u = scores[y > 0], scores[y == 0]
-    places = np.quantile(p, np.linspace(0.05, 0.95, 19))
-    quotient = [(u >= s).mean() / max((p >= s).mean(), 1e-9) for s in places]
-    return float(np.clip(min(quotient), 0.01, 0.99))
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE
-) -> Model:
-    """A model from the labels that `learn` allows and unlabelled rows of the corpus."""
-    known = labels.where(learn & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    known = known.select("doc_id", "quality").dropDuplicates(["doc_id"])
-    # unlabelled: documents no matter what a label would say; only ids travel here
-    ids = docs.where(learn & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    blank = F.lit("").alias("text")
-    drawn = (
-        X.sample(ids.select("doc_id", blank), most).select("doc_id", F.lit("u").alias("kind")).unionAll(
-            X.sample(known.where("quality = 1").select("doc_id", blank), most).select(
-                "doc_id", F.lit("p").alias("kind")
-            )
+def _with_bias(x: np.ndarray) -> np.ndarray:
+    return np.column_stack([x, np.ones(len(x), np.float32)])
+
+
+def _softplus(z: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, z)
+
+
+@dataclass
+class Risk:
+    """`share` times the mean over unlabelled rows of log(1 + e^z), plus that of positives.
+
+    With a prior the positives' part is -prior z, as the unbiased risk has it; without one
+    it is (1 - share) log(1 + e^-z), which tells positives from unlabelled rows.
+    """
+
+    positive: np.ndarray  # stepped, with a last column of ones
+    share: float
+    prior: float | None = None
+
+    def __post_init__(self) -> None:
+        size = self.positive.shape[1]
+        ridge = 1e-3 + 2 / len(self.positive)  # few rows are learned by heart sooner
+        self.ridge = np.append(np.full(size - 1, ridge), 0)
+
+    def gradient(self, w: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
+        """`unlabelled` is the mean of sigmoid(z) x."""
+        p, z = self.positive, self.positive @ w
+        if self.prior is None:
+            own = (1 - self.share) * p.T @ (X.sigmoid(z) - 1) / len(p)
+        else:
+            own = -self.prior * p.mean(0)
+        return self.share * unlabelled + own + self.ridge * w
+
+    def curvature(self, w: np.ndarray, sample: np.ndarray) -> np.ndarray:
+        def mean(x: np.ndarray) -> np.ndarray:
+            s = X.sigmoid(x @ w)
+            return (x * (s * (1 - s))[:, None]).T @ x / len(x)
+
+        out = self.share * mean(sample) + np.diag(self.ridge + 1e-6)
+        return out + (1 - self.share) * mean(self.positive) if self.prior is None else out
+
+    def rest(self, w: np.ndarray, unlabelled: float) -> float:
+        """The risk of what is left of the unlabelled rows without the positives among them."""
+        if self.prior is None:
+            return unlabelled
+        return unlabelled - self.prior * float(_softplus(self.positive @ w).mean())
+
+
+def _sums(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums of sigmoid(z) x, of log(1 + e^z), and of rows."""
+    z = x @ w
+    return np.concatenate([x.T @ X.sigmoid(z), [_softplus(z).sum(), len(x)]])
+
+
+def _aggregated(shaped: DataFrame, of, size: int) -> np.ndarray:
+    """`of(shapes)`, `size` sums, over all rows: added up in each task and then by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            total += of(_matrix(batch.column("shape")))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(size)), pa.array(total)], names=["place", "value"]
         )
-    )
-    shares = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches):
+    sums = shaped.select("shape").mapInArrow(run, "place long, value double")
+    out = np.zeros(size)
+    for row in sums.groupBy("place").agg(F.sum("value").alias("value")).collect():
+        out[row["place"]] = row["value"]
+    return out
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES))
+
+
+def minimised(
+    shaped: DataFrame, edges: list[np.ndarray], risk: Risk, sample: np.ndarray
+) -> np.ndarray:
+    """Weights of the least risk over all rows of `shaped`."""
+    w = np.zeros(risk.positive.shape[1])
+    for _ in range(NEWTON):  # on the sample, to start near the end
+        means = _sums(sample, w)
+        step = np.linalg.solve(
+            risk.curvature(w, sample), risk.gradient(w, means[:-2] / len(sample))
+        )
+        w = w - step * min(1, 4 / max(1e-9, np.abs(step).max()))
+    before = None
+    for _ in range(PASSES):
+        here = w
+
+        def of(shape: np.ndarray) -> np.ndarray:
+            return _sums(_with_bias(stepped(shape, edges)), here)
+
+        sums = _aggregated(shaped, of, len(w) + 2)
+        rest = risk.rest(w, sums[-2] / sums[-1])
+        if rest < 0 and before is not None:
+            w = (w + before) / 2  # part of the way back to where it was not negative
+            continue
+        gradient = risk.gradient(w, sums[:-2] / sums[-1])
+        if rest < 0 or np.abs(gradient).max() < ENOUGH:
+            break
+        before, w = w, w - np.linalg.solve(risk.curvature(w, sample), gradient)
+    return w
+
+
+def estimated_prior(
+    shaped: DataFrame, edges: list[np.ndarray], positive: np.ndarray, sample: np.ndarray
+) -> float:
+    """An upper bound on the share of positives among all rows, from their scores."""
+    w = minimised(shaped, edges, Risk(positive, 0.5), sample)
+    scores = positive @ w
+    places = np.quantile(scores, np.linspace(0.05, 0.95, 19))
+
+    def of(shape: np.ndarray) -> np.ndarray:
+        found = np.sort(_with_bias(stepped(shape, edges)) @ w)
+        return np.append(len(found) - np.searchsorted(found, places), len(found))
+
+    above = _aggregated(shaped, of, len(places) + 1)
+    quotient = above[:-1] / above[-1] / [max((scores >= s).mean(), 1e-9) for s in places]
+    return float(np.clip(quotient.min(), 0.05, 0.95))
+
+
+def _shaped(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, most=1 << 20):
             found = shapes(batch.column("text"))
-            flat = pa.array(found.reshape(-1))
             bounds = pa.array(np.arange(len(found) + 1) * len(NAMES), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("kind"), pa.ListArray.from_arrays(bounds, flat)],
-                names=["doc_id", "kind", "shape"],
+                [
+                    batch.column("doc_id").cast(pa.int64()),
+                    pa.ListArray.from_arrays(bounds, pa.array(found.reshape(-1))),
+                ],
+                names=["doc_id", "shape"],
             )
 
-    got = (
-        docs.select("doc_id", "text")
-        .join(drawn, "doc_id")
-        .select("doc_id", "kind", "text")
-        .mapInArrow(measure, "doc_id long, kind string, shape array<double>")
-        .toPandas()  # at most 2 * most rows of a few numbers
-        .sort_values(["kind", "doc_id"], kind="stable")
-    )
-    by_kind = {
-        k: np.array(got.loc[got["kind"] == k, "shape"].tolist(), float).reshape(-1, len(NAMES)) for k in "pu"
-    }
-    if not len(by_kind["p"]) or not len(by_kind["u"]):
-        return Model([], np.empty(0), 0.0, 0.5 if shares is None else float(shares))
-    everything = np.vstack([by_kind["p"], by_kind["u"]])
-    edges = [np.unique(np.quantile(column, np.linspace(0, 0.98, 25))) for column in everything.T]
-    p, u = (stepped(by_kind[k], edges) for k in "pu")
-    prior = float(np.clip(0.5 * (estimated_prior(p, u) + shares), 0.05, 0.95))
-    weights, bias = non_negative(p, u, prior)
-    return Model(edges, weights, bias, prior)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shape array<double>")
+
+
+def _collected(rows: DataFrame, most: int) -> np.ndarray:
+    """Shapes of the first rows by a hash of the id; no more than `most`."""
+    order = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id"), F.xxhash64("shape")]
+    got = rows.orderBy(*order).limit(most).select("shape").toArrow()
+    return _matrix(got.column("shape").combine_chunks()) if len(got) else np.empty((0, len(NAMES)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE) -> Model:
+    """A model from the positives that `learn` allows and all documents that it allows."""
+    scratch = Scratch()
+    shaped = scratch.write(_shaped(docs.where(learn & F.col("doc_id").isNotNull())), "shapes")
+    good = labels.where(learn & F.col("doc_id").isNotNull() & (F.col("quality") == 1))
+    good = scratch.write(good.select("doc_id").distinct(), "positives")
+    trusted = shaped.join(good, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    positive, sample = _collected(trusted, most), _collected(shaped, most)
+    if not len(positive):
+        return Model([], np.empty(0), 0.0, 0.5)
+    places = np.linspace(0, 0.98, 25).tolist()
+    quantiles = shaped.agg(
+        *[F.percentile_approx(F.col("shape")[k], places).alias(name) for k, name in enumerate(NAMES)]
+    ).first()
+    edges = [np.unique(np.array(column, float)) for column in quantiles]
+    p, u = (_with_bias(stepped(x, edges)).astype(float) for x in (positive, sample))
+    prior = estimated_prior(shaped, edges, p, u)
+    w = minimised(shaped, edges, Risk(p, 1.0, prior), u)
+    scratch.discard()
+    return Model(edges, w[:-1], float(w[-1]), prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
