@@ -40,11 +40,11 @@ SCALE = 1_000_000
 
 HEAD = 8_192  # units with a rank
 TILE = 512  # ranks to a side of a tile
-DENSE = 16  # tiles a task counts densely at a time
+DENSE = 8  # tiles a task counts densely at a time
 FILLED = TILE * TILE // 16  # pairs in one slice that make a tile dense
-PENDING = 400_000  # coordinates a task holds before it sums them up
-BITS = 26
-SLICE_BYTES = 1 << 20  # of text, worked on at a time
+PENDING = 150_000  # coordinates a task holds before it sums them up
+BITS = 25
+SLICE_BYTES = 1 << 19  # of text, worked on at a time
 SALTS = 16
 GATHER = 4  # splits of text that one task counts the longer phrases over, which are few
 
