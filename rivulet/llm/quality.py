@@ -41,8 +41,10 @@ from rivulet.llm.scratch import Scratch
 
 SAMPLE = 10_000
 THRESHOLD = 0.3
+RIDGE = 0.1
 NEWTON = 12  # steps on the sample
 PASSES = 8  # over all documents, at most
+ROUGH = 2  # where only the order of the scores counts
 ENOUGH = 1e-4  # of the largest part of the gradient
 NAMES = (
     "log_words", "mean_word", "long_words", "upper", "digit", "mark", "odd_mark", "bar",
@@ -164,11 +166,10 @@ class Risk:
     positive: np.ndarray  # stepped, with a last column of ones
     share: float
     prior: float | None = None
+    ridge: float = RIDGE
 
     def __post_init__(self) -> None:
-        size = self.positive.shape[1]
-        ridge = 1e-3 + 2 / len(self.positive)  # few rows are learned by heart sooner
-        self.ridge = np.append(np.full(size - 1, ridge), 0)
+        self.pull = np.append(np.full(self.positive.shape[1] - 1, self.ridge), 0)
 
     def gradient(self, w: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
         """`unlabelled` is the mean of sigmoid(z) x."""
@@ -177,14 +178,14 @@ class Risk:
             own = (1 - self.share) * p.T @ (X.sigmoid(z) - 1) / len(p)
         else:
             own = -self.prior * p.mean(0)
-        return self.share * unlabelled + own + self.ridge * w
+        return self.share * unlabelled + own + self.pull * w
 
     def curvature(self, w: np.ndarray, sample: np.ndarray) -> np.ndarray:
         def mean(x: np.ndarray) -> np.ndarray:
             s = X.sigmoid(x @ w)
             return (x * (s * (1 - s))[:, None]).T @ x / len(x)
 
-        out = self.share * mean(sample) + np.diag(self.ridge + 1e-6)
+        out = self.share * mean(sample) + np.diag(self.pull + 1e-6)
         return out + (1 - self.share) * mean(self.positive) if self.prior is None else out
 
     def rest(self, w: np.ndarray, unlabelled: float) -> float:
@@ -223,9 +224,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def minimised(
-    shaped: DataFrame, edges: list[np.ndarray], risk: Risk, sample: np.ndarray
+    shaped: DataFrame, rows_of, risk: Risk, sample: np.ndarray, passes: int = PASSES
 ) -> np.ndarray:
-    """Weights of the least risk over all rows of `shaped`."""
+    """Weights of the least risk over all rows of `shaped`, or as near as the passes come.
+
+    `rows_of` turns shapes into rows of the model; `sample` has some of those.
+    """
     w = np.zeros(risk.positive.shape[1])
     for _ in range(NEWTON):  # on the sample, to start near the end
         means = _sums(sample, w)
@@ -234,11 +238,11 @@ def minimised(
         )
         w = w - step * min(1, 4 / max(1e-9, np.abs(step).max()))
     before = None
-    for _ in range(PASSES):
+    for _ in range(passes):
         here = w
 
         def of(shape: np.ndarray) -> np.ndarray:
-            return _sums(_with_bias(stepped(shape, edges)), here)
+            return _sums(rows_of(shape), here)
 
         sums = _aggregated(shaped, of, len(w) + 2)
         rest = risk.rest(w, sums[-2] / sums[-1])
@@ -253,20 +257,34 @@ def minimised(
 
 
 def estimated_prior(
-    shaped: DataFrame, edges: list[np.ndarray], positive: np.ndarray, sample: np.ndarray
+    shaped: DataFrame, rows_of, positive: np.ndarray, sample: np.ndarray
 ) -> float:
-    """An upper bound on the share of positives among all rows, from their scores."""
-    w = minimised(shaped, edges, Risk(positive, 0.5), sample)
-    scores = positive @ w
-    places = np.quantile(scores, np.linspace(0.05, 0.95, 19))
+    """An upper bound on the share of positives among all rows, from their scores.
+
+    Positives are scored by a classifier that has not seen them: half of them each time.
+    """
+    bounds = []
+    for half in (0, 1):
+        seen, unseen = positive[half::2], positive[1 - half :: 2]
+        if not len(seen) or not len(unseen):
+            seen = unseen = positive
+        w = minimised(shaped, rows_of, Risk(seen, 0.5), sample, ROUGH)
+        scores = unseen @ w
+        places = np.quantile(scores, np.linspace(0.05, 0.75, 15))
+        above = _aggregated(shaped, _above(rows_of, w, places), len(places) + 1)
+        quotient = above[:-1] / above[-1] / [(scores >= s).mean() for s in places]
+        bounds.append(quotient.min())
+    return float(np.clip(np.mean(bounds), 0.05, 0.95))
+
+
+def _above(rows_of, w: np.ndarray, places: np.ndarray):
+    """How many rows score at least each of the places, and how many there are."""
 
     def of(shape: np.ndarray) -> np.ndarray:
-        found = np.sort(_with_bias(stepped(shape, edges)) @ w)
+        found = np.sort(rows_of(shape) @ w)
         return np.append(len(found) - np.searchsorted(found, places), len(found))
 
-    above = _aggregated(shaped, of, len(places) + 1)
-    quotient = above[:-1] / above[-1] / [max((scores >= s).mean(), 1e-9) for s in places]
-    return float(np.clip(quotient.min(), 0.05, 0.95))
+    return of
 
 
 def _shaped(docs: DataFrame) -> DataFrame:
@@ -307,11 +325,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE) -
         *[F.percentile_approx(F.col("shape")[k], places).alias(name) for k, name in enumerate(NAMES)]
     ).first()
     edges = [np.unique(np.array(column, float)) for column in quantiles]
-    p, u = (_with_bias(stepped(x, edges)).astype(float) for x in (positive, sample))
-    prior = estimated_prior(shaped, edges, p, u)
-    w = minimised(shaped, edges, Risk(p, 1.0, prior), u)
+
+    def rows_of(shape: np.ndarray) -> np.ndarray:
+        return _with_bias(stepped(shape, edges)).astype(float)
+
+    p, u = rows_of(positive), rows_of(sample)
+    prior = estimated_prior(shaped, rows_of, p, u)
+    w = minimised(shaped, rows_of, Risk(p, 1.0, prior), u)
+    # the ridge has drawn all scores together: the same risk sets how far apart they lie
+    spread = minimised(
+        shaped,
+        lambda shape: _with_bias(rows_of(shape) @ w),
+        Risk(_with_bias(p @ w), 1.0, prior, 1e-6),
+        _with_bias(u @ w),
+    )
     scratch.discard()
-    return Model(edges, w[:-1], float(w[-1]), prior)
+    return Model(edges, spread[0] * w[:-1], float(spread[0] * w[-1] + spread[1]), prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
