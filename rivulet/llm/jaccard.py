@@ -239,6 +239,31 @@ def _describe(mask, size: int, percent: int):
     return run
 
 
+def _noded(size: int):
+    """The texts with what tells them apart, where they share an id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches):
+            marked = batch.column("marked").fill_null(False).to_pylist()
+            found = sets(batch.column("text"), size)
+            found = [s if m else s[:0] for s, m in zip(found, marked, strict=True)]
+            one = [int(W.mix(s.copy()).sum(dtype=np.uint64).view(np.int64)) for s in found]
+            two = [int(W.mix(~s).sum(dtype=np.uint64).view(np.int64)) for s in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc"),
+                    batch.column("text").cast(pa.string()),
+                    pa.array(one, pa.int64()),
+                    pa.array(two, pa.int64()),
+                    pa.array([len(s) for s in found], pa.int64()),
+                    batch.column("marked"),
+                ],
+                names=["doc", "text", "one", "two", "n_shingles", "marked"],
+            )
+
+    return run
+
+
 def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,6 +393,31 @@ def classes(
         "equal",
     )
     named = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
+    # a node is a text by its first id; texts that share that id get nodes of their own
+    several = kept.write(
+        whole.select("doc_id", *content).distinct().groupBy("doc_id").count().where("count > 1")
+        .select(F.col("doc_id").alias("doc")),
+        "several",
+    )
+    clash = not several.isEmpty()
+    if clash:
+        shared_id = F.col("marked").isNotNull()
+        marked = several.withColumn("marked", F.lit(True))
+        own = F.xxhash64("doc", *content)
+        equal = kept.write(
+            equal.join(marked, "doc", "left")
+            .withColumn("node", F.when(shared_id, own).otherwise(F.col("doc")))
+            .drop("marked"),
+            "equal",
+        )
+        first = equal.select("doc", "node", *content)
+        equal = equal.drop("doc").withColumnRenamed("node", "doc")
+        named = kept.write(
+            named.join(marked, "doc", "left").mapInArrow(_noded(size), "doc long, text string, one long, two long, n_shingles long, marked boolean")
+            .withColumn("doc", F.when(shared_id, own).otherwise(F.col("doc")))
+            .select("doc", "text"),
+            "named",
+        )
     index = named.mapInArrow(_index(mask, size, percent), "signature long, doc long, place int")
     keys = turn.write(
         index.groupBy("signature").agg(F.count("*").alias("times")).where("times > 1").select("signature"),
@@ -400,6 +450,17 @@ def classes(
     # rows of one doc_id with other texts link through it, whatever their sets say
     labels = equal.select("doc", F.col("doc").alias("class")).distinct()
     labels = kept.write(labels, "classes")
+    if clash:
+        # the texts of one id are one document
+        texts_of = whole.join(several, F.col("doc_id") == F.col("doc"), "left_semi").select(
+            "doc_id", *content
+        )
+        nodes = texts_of.join(first, content).select("doc_id", "node").distinct()
+        least = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+        links = turn.write(
+            nodes.join(least, "doc_id").select("a", F.col("node").alias("b")), "links"
+        )
+        labels = _relabelled(labels, links, turn, kept)
     for count in range(rounds):
         now = _open(posting, labels, turn)
         order = F.xxhash64(F.lit(count), "doc") if count else F.col("doc")
@@ -482,6 +543,10 @@ def classes(
     if not links.isEmpty():
         labels = _relabelled(labels, links, turn, kept)
     turn.discard()
+    if clash:
+        ids = whole.join(equal, content).join(labels, "doc").select("class", "doc_id")
+        low = ids.groupBy("class").agg(F.min("doc_id").alias("low"))
+        labels = labels.join(low, "class").select("doc", F.col("low").alias("class"))
     final = equal.join(labels, "doc").select(*content, "class")
     rows = base.select("doc_id", *content)
     out = rows.join(final, content, "left").select(
