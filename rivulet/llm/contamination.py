@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet.llm import words as W
+from rivulet.llm.scratch import Scratch
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
@@ -214,7 +215,10 @@ def find_matches(
             "matches": F.array().cast(MATCH),
         }
     )
-    for ids, texts in _blocks(benchmark, block_words):
+    scratch = Scratch()
+    for place, (ids, texts) in enumerate(_blocks(benchmark, block_words)):
+        if place:  # a pass has run before the arrays of the next block are made
+            found = scratch.write(found, "matches")
         found = found.mapInArrow(_pass(suffixes(ids, texts, window)), f"text string, {SCHEMA}")
     return found.drop("text")
 
@@ -265,7 +269,10 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """The documents without any benchmark window; all their columns as they were."""
-    for ids, texts in _blocks(benchmark, block_words):
+    scratch = Scratch()
+    for place, (ids, texts) in enumerate(_blocks(benchmark, block_words)):
+        if place:
+            docs = scratch.write(docs, "clean")
         tests = suffixes(ids, texts, window)
 
         def run(batches, tests=tests):
