@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rivulet.llm.scratch import Scratch
+
 K = 20
 SCALE = 64
 WAVE = 16_384
@@ -169,20 +171,25 @@ def top_k(
     candidates = quantised(vectors, scale)
     queries = candidates.where(is_query).dropDuplicates(["vec_id"])
     schema = "query_id long, vec_id long, score long"
-    found = None
+    scratch, found = Scratch(), spark.createDataFrame([], f"{schema}, rank int")
     for one in _waves(queries, wave):
         shared = spark.sparkContext.broadcast(one)  # at most `wave` rows
 
         def run(batches, shared=shared):
             yield from _search(shared.value, k, block, step, tile)(batches)
 
-        part = candidates.mapInArrow(run, schema)
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        found = spark.createDataFrame([], schema)
+        # written before the next wave is drawn; only one is on the driver and in the tasks
+        part = scratch.write(_ranked(candidates.mapInArrow(run, schema), k), "wave")
+        shared.destroy()
+        found = found.unionAll(part)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The first k of each query, with their rank; first within groups of tasks."""
     found = found.withColumn("task", F.spark_partition_id() % 64)
     order = [F.desc("score"), F.asc("vec_id")]
     for keys in (["query_id", "task"], ["query_id"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         found = found.withColumn("rank", rank).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "vec_id", "score", "rank")
