@@ -42,7 +42,7 @@ HEAD = 8_192  # units with a rank
 TILE = 512  # ranks to a side of a tile
 DENSE = 8  # tiles a task counts densely at a time
 FILLED = TILE * TILE // 16  # pairs in one slice that make a tile dense
-PENDING = 150_000  # coordinates a task holds before it sums them up
+PENDING = 300_000  # coordinates a task holds before it sums them up
 BITS = 25
 SLICE_BYTES = 1 << 19  # of text, worked on at a time
 SALTS = 16
