@@ -8,8 +8,9 @@ of its positions and little else. What is left at the depth of the window is com
 word by word and chained along the item into the longest verbatim matches.
 
 The benchmark is cut into blocks of a bounded number of words; one block at a time goes
-to the tasks, and each block is searched in all documents. Documents are never shuffled
-or gathered: one pass for each block.
+to the tasks, and each block is searched in all documents; the result of a pass is written
+before the arrays of the next block are made. Documents are never shuffled or gathered: one
+pass for each block.
 
 Defined cases: a null or empty text has no words and is never contaminated; so does a
 null item. An item shorter than the window is one window; an item without words is

@@ -1,4 +1,8 @@
-"""Substring deduplication by relative Lempel-Ziv parsing over an indexed corpus.
+"""Substring deduplication over content-marked phrases and their earlier references.
+
+Whether a stretch repeats is decided by hashes of phrases and of windows; the factors of
+a relative Lempel-Ziv parse are put together from what those find (step 3), so this is
+not the parse itself, which would factor each document against the words of a reference.
 
 A window is WINDOW consecutive words of one document. Words covered by a window whose
 words also start earlier in the corpus (a smaller doc_id, or the same document and an

@@ -13,7 +13,7 @@ pass without a shuffle packs the staged blocks. All tables are written by Spark'
 committers to the shared folder, so lost tasks are simply run again.
 
 Defined cases: a null or empty text is its end id alone. Null doc_ids come first. Rows
-that share a doc_id are ordered by text and each keeps its ids; an empty table makes a
+that share a doc_id are ordered by a hash of their text, then by text, and each keeps its ids; an empty table makes a
 file without blocks. Other columns are neither read nor touched. The longest document
 must fit a task's memory as ids.
 """

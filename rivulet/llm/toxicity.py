@@ -10,8 +10,9 @@ categories, predicted one after the other:
 
 Each link of the chain is a logistic regression over the features and the probabilities
 of all earlier categories. While fitting, those probabilities are out of fold: each row's
-comes from a model that has not seen it, so later models learn how far to trust earlier
-ones. Scoring uses the models fitted on all rows.
+comes from weights that were not fitted on it, so later models learn how far to trust
+earlier ones. (Which features there are, and what is typical, is chosen over all rows.)
+Scoring uses the models fitted on all rows.
 
 The models are fitted on at most SAMPLE labelled rows, the first by a hash of the id;
 their sparse features travel to the driver, never texts. Features are the FEATURES
