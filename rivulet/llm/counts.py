@@ -41,7 +41,7 @@ def _small(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(file)
         width = encoder.dtype.itemsize
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=tokens.SLICE_BYTES):
             texts = batch.column("text")
             found = [len(ids) // width for ids in encoder.encode(texts.to_pylist())]
             sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())

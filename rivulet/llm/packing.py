@@ -126,7 +126,7 @@ def cut(docs: DataFrame, file: str | None = None, end: int = END, capacity: int
         encoder = tokens.encoder(file)
         width, tail = encoder.dtype.itemsize, np.array([end], encoder.dtype).tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=tokens.SLICE_BYTES):
             rows = []
             encoded = encoder.encode(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):

@@ -63,7 +63,7 @@ def _stage(file: str, end: int, block: int):
                 names=["part", "number", "first", "doc_ids", "sizes", "ids", "id", "times"],
             )
 
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=tokens.SLICE_BYTES):
             doc_ids = batch.column("doc_id").to_pylist()
             for doc_id, x in zip(doc_ids, encoder.encode(batch.column("text").to_pylist()), strict=True):
                 names.append(doc_id)

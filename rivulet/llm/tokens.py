@@ -9,7 +9,10 @@ pattern's letter classes are beyond doubt; every other text, any text that holds
 special token's string, and any other tokenizer file go to the library whole.
 
 What is known of the pieces is one array of ids with each piece's place in it, so the ids
-of a batch of texts are gathered by index.
+of a batch of texts are gathered by index. New pieces are put to the tokenizer's own model
+many at a time, already in the model's spelling of bytes, so it need not cut them again.
+What a process knows is bounded; when it is too much, the pieces met first stay, which are
+the most frequent ones by and large.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import json
 import re
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import regex
@@ -59,6 +62,12 @@ _FOLDED = {
 _UNSURE = regex.compile("[\x1c-\x1f\x85İɐ-\U0010ffff]")
 
 
+#: What an encoder remembers between batches: pieces, and characters of them.
+MOST = 400_000
+CHARS = 16_000_000
+SLICE_BYTES = 1 << 20  # of texts encoded at a time
+
+
 def _class(kind: str) -> str:
     """The characters of a class among those of texts that are cut here, for a set in `re`.
 
@@ -88,6 +97,33 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> np.ndarray:
+    """The letter for each byte in byte-level vocabularies; a line break stays as it is."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = np.zeros(256, "<u2")
+    letters[shown] = shown
+    hidden = np.flatnonzero(letters == 0)
+    letters[hidden] = 256 + np.arange(len(hidden))
+    letters[10] = 10  # stands between pieces
+    return letters
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class _Numbers(dict):
+    """Pieces by number, in the order in which they are first asked for."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 @lru_cache(maxsize=2)
 def encoder(file: str) -> "Encoder":
     """The encoder of this process: a Python worker keeps what it knows between tasks."""
@@ -97,7 +133,7 @@ def encoder(file: str) -> "Encoder":
 class Encoder:
     """Ids of texts under one tokenizer file; remembers a bounded number of pieces."""
 
-    def __init__(self, file: str, most: int = 1_000_000, chars: int = 32_000_000):
+    def __init__(self, file: str, most: int = MOST, chars: int = CHARS):
         from tokenizers import Tokenizer
 
         with open(file, encoding="utf-8") as source:
@@ -113,16 +149,33 @@ class Encoder:
         self.fold = head == _FOLDED
         self.fast = (self.fold or head == _PLAIN) and layout["model"].get("dropout") is None
         self.pattern = _spelled(WORD_PATTERN if self.fold else PATTERN)
+        self.model = self.tokenizer.model
         self.most, self.chars = most, chars
-        self._forget()
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         """Piece k is known[...] = k and has ids[start[k] : start[k + 1]]."""
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.held = 0  # characters of the known pieces
         self.ids = np.empty(1 << 16, self.dtype)
         self.start = np.zeros(1 << 14, np.int64)
 
+    def _forget(self) -> None:
+        """Keeps the pieces met first, as half of what may be remembered."""
+        lengths = np.cumsum(np.fromiter(map(len, self.known), np.int64, len(self.known)))
+        n = min(self.most // 2, int(np.searchsorted(lengths, self.chars // 2, "right")))
+        self.known = _Numbers(islice(self.known.items(), n))
+        self.held = int(lengths[n - 1]) if n else 0
+        self.start = self.start[: n + 1].copy()
+        self.ids = self.ids[: self.start[n]].copy()
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by number, and their bounds."""
+        first = self.start[which]
+        counts = self.start[which + 1] - first
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        return self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])], ends
+
     def sure(self, text: str) -> bool:
         """Whether the text may be cut into pieces here."""
         if not self.fast or any(s in text for s in self.special):
@@ -138,10 +191,7 @@ class Encoder:
         cut = [self.pieces(t) if self.sure(t) else None for t in texts]
         sizes = np.array([len(pieces or ()) for pieces in cut], np.int64)
         which = self.numbers(list(chain.from_iterable(pieces or () for pieces in cut)))
-        first = self.start[which]
-        counts = self.start[which + 1] - first
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        found = self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])]
+        found, ends = self._gathered(which)
         bounds = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         return [
             self._whole(t) if pieces is None else found[low:high].tobytes()
@@ -149,59 +199,45 @@ class Encoder:
         ]
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
-        """The number of each piece; the library is asked once for all that are new."""
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            new = {p for p, number in zip(pieces, found) if number is None}
-            if len(self.known) + len(new) > self.most or self.held > self.chars:
-                self._forget()
-                new = set(pieces)
-            self._learn(list(new))
-            found = list(map(self.known.__getitem__, pieces))
-        return np.array(found, np.int64)
+        """The number of each piece, valid until the next call; new ones are learned together."""
+        if len(self.known) > self.most or self.held > self.chars:
+            self._forget()
+        found = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if self.known.new:
+            try:
+                self._learn(self.known.new)
+            except BaseException:
+                self._clear()  # no number without ids
+                raise
+            self.known.new = []
+        return found
 
     def _learn(self, new: list[str]) -> None:
-        if self.fold:
-            together, apart = {" ": new}, []
-        else:
-            # pieces that stay pieces one after the other, or with a line break between
-            spaced = [p for p in new if p[0] == " " and len(p) > 1 and not p[1].isspace()]
-            bare = [p for p in new if not p[0].isspace()]
-            together, apart = {"": spaced, "\n": bare}, [p for p in new if p.isspace()]
-        for between, pieces in together.items():
-            for at in range(0, len(pieces), 512):
-                part = pieces[at : at + 512]
-                ids, counts = self._asked(part, between)
-                if len(counts) == len(part):
-                    self._keep(part, ids, counts)
+        ids, counts = [], []
+        for at in range(0, len(new), 4096):
+            for piece, letters in self._letters(new[at : at + 4096]):
+                if piece.isspace():  # may hold line breaks
+                    found = self.tokenizer.encode(piece, add_special_tokens=False).ids
                 else:
-                    apart += part
-        for piece in apart:
-            ids = np.frombuffer(self._whole(piece), self.dtype)
-            self._keep([piece], ids, np.array([len(ids)]))
-
-    def _asked(self, part: list[str], between: str) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of some pieces, and how many each has."""
-        found = self.tokenizer.encode(between.join(part), add_special_tokens=False)
-        ids, words = np.array(found.ids, self.dtype), np.array(found.word_ids, np.int64)
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(words)) + 1, [len(ids)]))
-        counts = np.diff(cuts)
-        if between == "\n":  # every other word is a line break
-            ids = ids[np.repeat(np.arange(len(counts)) % 2 == 0, counts)]
-            counts = counts[::2] if len(counts) == 2 * len(part) - 1 else counts[:0]
-        return ids, counts
-
-    def _keep(self, part: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        n = len(self.known)
-        self.known.update(zip(part, range(n, n + len(part))))
-        self.held += sum(map(len, part))
-        if n + len(part) >= len(self.start):
-            self.start = np.resize(self.start, 2 * (n + len(part)))
-        end = self.start[n]
-        if end + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (end + len(ids)))
-        self.ids[end : end + len(ids)] = ids
-        self.start[n + 1 : n + 1 + len(part)] = end + np.cumsum(counts)
+                    found = [token.id for token in self.model.tokenize(letters)]
+                ids += found
+                counts.append(len(found))
+        n = len(self.known) - len(new)
+        end = self.start[n] + len(ids)
+        if len(self.known) >= len(self.start):
+            self.start = np.resize(self.start, 2 * len(self.known))
+        if end > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * end)
+        self.ids[self.start[n] : end] = ids
+        self.start[n + 1 : len(self.known) + 1] = self.start[n] + np.cumsum(counts)
+        self.held += sum(map(len, new))
+
+    def _letters(self, part: list[str]) -> Iterable[tuple[str, str]]:
+        """Pieces with their bytes as letters; none for white space."""
+        plain = ["" if piece.isspace() else piece for piece in part]
+        raw = np.frombuffer("\n".join(plain).encode(), np.uint8)
+        letters = _BYTE_LETTERS[raw].tobytes().decode("utf-16-le").split("\n")
+        return zip(part, letters, strict=True)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -147,3 +147,27 @@ def test_quality_without_documents_or_positives(spark):
     model = quality.fit(docs, labels, F.lit(True))
     assert [r.score for r in quality.score(docs, model).collect()] == [0.5, 0.5]
     assert quality.score(docs.limit(0), quality.fit(docs.limit(0), labels, F.lit(True))).collect() == []
+
+
+def test_encoder_keeps_the_first_pieces_and_little_else():
+    """A process that meets ever new words forgets those, not the ones it meets all the time."""
+    rng = random.Random(8)
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.Encoder(tokens.path(name), most=200)
+        common = [f"of the {word}," for word in ("house", "street", "größe")]
+        kept = []
+        whole = encoder.tokenizer
+        for _ in range(30):
+            new = "".join(rng.choices("abcdefghij", k=9))
+            texts = [*common, *(f"x {new}{i} \n\n y" for i in range(20)), new * 3]
+            for text, ids in zip(texts, encoder.encode(texts), strict=True):
+                expected = whole.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(ids, encoder.dtype).tolist() == expected
+            kept.append(" street" in encoder.known or "street" in encoder.known)
+            assert len(encoder.known) <= 200 + 100
+        assert all(kept)
+    few = tokens.Encoder(tokens.path("byte_bpe_50k.json"), chars=100)
+    for i in range(20):
+        few.encode([f"{i}a" * 30])
+        assert few.held <= 100 + 30 * 3
+    assert tokens.MOST <= 500_000  # three workers of an executor hold as many each
