@@ -16,6 +16,7 @@ from rivulet.operators.flatten import station_catalogue
 from rivulet.session import scratch_path
 from rivulet.sources.tables import LANDING, REQUEST_ERRORS, Warehouse
 
+BATCH_ROWS = 1_000_000  # of one batch, dealt to a task at a time
 READING_FIELDS = ["dateTime", "value", "quality", "completeness"]
 
 
@@ -67,6 +68,21 @@ def drop_datasets(warehouse: Warehouse, names: list[str], pattern: str | None =
     warehouse.drop_rows(batches.dropped_datasets(names, pattern))
 
 
+def _by_batch(rows: DataFrame, counted: DataFrame, most: int = BATCH_ROWS) -> DataFrame:
+    """Rows dealt by batch for the writer, which sorts them; large batches go to several tasks.
+
+    Spark splits a large batch only between the tasks it comes from. Dealt by batch alone,
+    all that one of them has read of a batch would be sorted at once. The batches are
+    `counted` first, and one row for each is sent to all tasks.
+    """
+    parts = F.ceil(F.count(F.lit(1)) / most).alias("parts")
+    sizes = counted.groupBy("ingested_at").agg(parts)
+    dealt = rows.join(F.broadcast(sizes), "ingested_at", "left").withColumn(
+        "part", F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1)))
+    )
+    return dealt.drop("parts").hint("rebalance", "ingested_at", "part")
+
+
 def migrate_landing(
     warehouse: Warehouse, path: str, ingested_at: str | None = None
 ) -> dict[str, object]:
@@ -85,7 +101,7 @@ def migrate_landing(
     watch = Observation()
     seen = rows.observe(watch, F.count(F.lit(1)).alias("rows"), F.max("id").alias("last"))
     columns = schemas.RAW_LANDING.fieldNames()
-    warehouse.append(LANDING, seen.select(*columns).hint("rebalance", "ingested_at"))
+    warehouse.append(LANDING, _by_batch(seen.select(*columns), rows))
     count, last = watch.get["rows"], watch.get["last"] or 0
     warehouse.reserve(LANDING, max(0, last - warehouse.counted(f"{LANDING}.key")))
     warehouse.count(taken, 1)

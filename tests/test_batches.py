@@ -231,6 +231,22 @@ def test_older_landings_are_taken_in_once(spark, warehouse, tmp_path):
     ]
 
 
+def test_a_large_batch_of_an_older_landing_goes_to_several_tasks(spark):
+    """All rows of one file and one stamp, ids null or repeated, are sorted in parts."""
+    rows = spark.range(0, 1000, 1, 1).select(
+        F.expr("if(id % 2 = 0, null, 7L)").alias("id"),
+        F.lit("a").alias("dataset"),
+        F.lit("{}").alias("payload"),
+        F.expr(f"if(id < 980, '{OLD}', if(id < 999, '{NEW}', null))").alias("ingested_at"),
+    )
+    dealt = source._by_batch(rows, rows, most=100)
+    same = dealt.select(rows.columns)
+    assert same.exceptAll(rows).isEmpty() and rows.exceptAll(same).isEmpty()
+    parts = dealt.groupBy("ingested_at", "part").count().collect()
+    assert max(r["count"] for r in parts) <= 100
+    assert sorted((r["ingested_at"] or "") for r in parts) == ["", *[OLD] * 10, NEW]
+
+
 def test_refused_requests_are_kept_for_the_report(spark, warehouse):
     with pytest.raises(ValidationError):
         source.land_run(warehouse, *run_inputs(spark, offering()), "LOCK", ["pH"], ingested_at=NEW)
