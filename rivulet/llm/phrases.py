@@ -42,11 +42,11 @@ HEAD = 8_192  # units with a rank
 TILE = 512  # ranks to a side of a tile
 DENSE = 8  # tiles a task counts densely at a time
 FILLED = TILE * TILE // 16  # pairs in one slice that make a tile dense
-PENDING = 300_000  # coordinates a task holds before it sums them up
+PENDING = 400_000  # different coordinates a task holds before it hands them on
 BITS = 25
 SLICE_BYTES = 1 << 19  # of text, worked on at a time
 SALTS = 16
-GATHER = 4  # splits of text that one task counts the longer phrases over, which are few
+GATHER = 4  # splits of text that one task counts phrases of three words and more over
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -200,7 +200,7 @@ class Tiles:
         self.side = -(-max(len(units.head), 1) // tile)
         self.dense: dict[int, np.ndarray] = {}
         self.loose: list[tuple[np.ndarray, list[np.ndarray], np.ndarray]] = []
-        self.pending = 0
+        self.pending = self.left = 0  # coordinates, and those the last summing up has left
 
     def add(self, left: np.ndarray, right: np.ndarray, ids: list[np.ndarray]) -> None:
         """Pairs by rank (-1 for none) and by the ids of all their words."""
@@ -232,13 +232,13 @@ class Tiles:
         if len(self.loose) > 1:
             columns = [np.concatenate(c) for c in zip(*(x[1] for x in self.loose))]
             self.loose = [_summed(columns, np.concatenate([x[2] for x in self.loose]))]
-        self.pending = sum(len(x[2]) for x in self.loose)
+        self.pending = self.left = sum(len(x[2]) for x in self.loose)
 
     def sparse_rows(self) -> Iterator[pa.RecordBatch]:
         self.compress()
         for hashes, columns, counts in self.loose:
             yield from _batches(hashes, columns, counts)
-        self.loose, self.pending = [], 0
+        self.loose, self.pending, self.left = [], 0, 0
 
     def dense_rows(self) -> Iterator[pa.RecordBatch]:
         for key, counts in self.dense.items():
@@ -303,9 +303,10 @@ def _count_pairs(levels, seed: int):
             left = units[-1].ranks(hashes[at], ids[:size])
             right = units[-1].ranks(hashes[at + 1], ids[1:])
             tiles.add(left, right, ids)
-            if tiles.pending > PENDING:
+            # summed up whenever as many have come as were left the last time
+            if tiles.pending > max(2 * tiles.left, PENDING // 2):
                 tiles.compress()
-                if tiles.pending > PENDING // 2:
+                if tiles.pending > PENDING:
                     yield from tiles.sparse_rows()
         yield from tiles.sparse_rows()
         yield from tiles.dense_rows()
@@ -335,7 +336,7 @@ def _frequent_phrases(
         levels.append(context.broadcast(_units(units, size, HEAD, BITS)))  # of fixed size
         ids = [f"w{i + 1}" for i in range(size + 1)]
         schema = ", ".join(f"{name} long" for name in ["hash", *ids, "n"])
-        part = texts if size < 3 else gathered
+        part = texts if size < 2 else gathered
         rows = part.mapInArrow(_count_pairs(list(levels), seed), schema)
         counted = rows.groupBy("hash", *ids).agg(F.sum("n").alias("n"))
         units = scratch.write(counted.where(F.col("n") >= least), f"phrases-{size + 1}")

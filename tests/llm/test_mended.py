@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rivulet.llm import jaccard, quality, queries, secrets, tokens
+from rivulet.llm import jaccard, phrases, quality, queries, secrets, tokens
 
 ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -171,3 +172,20 @@ def test_encoder_keeps_the_first_pieces_and_little_else():
         few.encode([f"{i}a" * 30])
         assert few.held <= 100 + 30 * 3
     assert tokens.MOST <= 500_000  # three workers of an executor hold as many each
+
+
+def test_a_task_sums_up_the_phrases_it_can_hold(monkeypatch):
+    """Phrases of three words that come again and again leave a task as one row each."""
+    monkeypatch.setattr(phrases, "PENDING", 100)
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 50)
+
+    class Level:
+        def __init__(self, size):  # no unit has a rank, any may be frequent
+            bits = np.full(1 << (phrases.BITS - 6), ~np.uint64(0))
+            self.value = phrases.Units(np.empty((0, size), np.uint64), np.empty(0, np.uint64), bits)
+
+    texts = [f"a{i} b{i} c{i}" for i in range(80)] * 5
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * len(texts)})
+    rows = list(phrases._count_pairs([Level(1), Level(2)], 0)(iter([batch])))
+    assert sum(r.num_rows for r in rows) == 80
+    assert [n for r in rows for n in r.column("n").to_pylist()] == [5] * 80
